@@ -315,14 +315,10 @@ ENTRIES = {
         f"""SELECT t.product_type, m.month, count(r.recall_number) AS record_count
         FROM (SELECT DISTINCT product_type {DATED}) t CROSS JOIN (SELECT DISTINCT {MONTH} AS month {DATED}) m
         LEFT JOIN recalls r ON r.product_type = t.product_type AND {MONTH} = m.month GROUP BY ALL""")),
-    "cov6_coverage_gaps": (on_view(lambda d: M.coverage_gaps(d.where(
-        (F.month("report_date") != F.length("product_type")) & (F.col("l_linenumber") != 1)))), on_recalls(
+    "cov6_coverage_gaps": (on_view(lambda d: M.coverage_gaps(d.withColumn("product_type", F.col("product_description")))), on_recalls(
         f"""SELECT t.product_type, s.month AS missing_month FROM (
-          SELECT unnest(generate_series(min({MONTH}), max({MONTH}), INTERVAL 1 MONTH))::DATE AS month FROM kept) s
-        CROSS JOIN (SELECT DISTINCT product_type FROM kept) t
-        LEFT JOIN (SELECT DISTINCT product_type, {MONTH} AS month FROM kept) k
-          ON k.product_type = t.product_type AND k.month = s.month WHERE k.month IS NULL""").replace(
-        "WITH recalls AS", "WITH r0 AS").replace(
-        ") SELECT t.product_type, s.month", """), kept AS (SELECT * FROM r0 WHERE report_date IS NOT NULL
-          AND month(report_date) <> length(product_type) AND l_linenumber <> 1) SELECT t.product_type, s.month""")),
+          SELECT unnest(generate_series(min({MONTH}), max({MONTH}), INTERVAL 1 MONTH))::DATE AS month FROM recalls) s
+        CROSS JOIN (SELECT DISTINCT product_description AS product_type {DATED}) t
+        LEFT JOIN (SELECT DISTINCT product_description AS product_type, {MONTH} AS month {DATED}) k
+          ON k.product_type = t.product_type AND k.month = s.month WHERE k.month IS NULL""")),
 }
