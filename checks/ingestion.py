@@ -20,7 +20,7 @@ from recallspark.plans.ingest import sum_runs
 from recallspark.schemas import RECORD_COLUMNS
 from recallspark.session import checkpoint, scratch_dir
 from recallspark.sources.landing import completeness, explode_records, in_date_range
-from recallspark.sources.standin import RECALL_VIEW_SQL, recall_view as _view, table
+from recallspark.sources.standin import RECALL_VIEW_SQL, recall_view as _view, spread, table
 from recallspark.sources.store import read_table
 from recallspark.sources.webpages import infer_product_type, parse_alerts, pseudo_id
 from recallspark.sources.windows import backfill_windows, daily_window
@@ -137,7 +137,7 @@ def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The crawled pages with their navigation links turned into alert list rows."""
     html = F.replace(F.replace("html", F.lit("<nav><ul>"), F.lit('<div class="view-content">')), F.lit("<li>"),
                      F.lit('<div class="item views-row"><time>March 5, 2024</time><h3>'))
-    return table(spark, sf_dir, "pages").select("page_id", F.replace(html, F.lit("</li>"), F.lit("</h3></div>")).alias("html"))
+    return spread(table(spark, sf_dir, "pages"), "page_id").select("page_id", F.replace(html, F.lit("</li>"), F.lit("</h3></div>")).alias("html"))
 
 
 def alert_list(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,7 +181,7 @@ def web_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", squeeze(F.col("text")).alias("clean_text"))
+    return spread(table(spark, sf_dir, "documents"), "doc_id").select("doc_id", squeeze(F.col("text")).alias("clean_text"))
 
 
 _SPACES = (r"[\t-\r\x1c- \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+")
@@ -189,7 +189,7 @@ _SPACES = (r"[\t-\r\x1c- \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x
 
 def document_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents"), "doc_id").select(
         "doc_id", infer_product_type(text, F.col("source")).alias("product_type"),
         pseudo_id(F.col("lang"), F.col("source"), text).alias("web_id"))
 
@@ -245,7 +245,7 @@ def on_normalized(sql: str) -> str:
 
 def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long texts as record fields: wrong product types and fields wider than the stored columns."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
     fields = {"recall_number": F.col("doc_id").cast("string"), "product_type": F.when(F.col("doc_id") % 5 == 0, F.col("lang")).otherwise("Food"),
               "recalling_firm": F.col("text"), "reason_for_recall": F.when(F.col("lang") == "en", " ").otherwise(F.col("text")),
               "state": F.col("source")}

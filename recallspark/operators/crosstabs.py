@@ -45,14 +45,20 @@ def type_by_state(df: DataFrame, types: list[str] = R.PRODUCT_TYPES) -> DataFram
             .orderBy(F.desc("total"), F.asc("state")))
 
 
+def with_reach(df: DataFrame) -> DataFrame:
+    """The frame with its state_reach column, computed once per row when not there yet. No filter
+    follows on values derived from it: a filter would be pushed below and compute it again."""
+    return df if "state_reach" in df.columns else df.withColumn("state_reach", state_reach(F.col("distribution_pattern")))
+
+
 def severity_by_reach(df: DataFrame) -> DataFrame:
     """Classification by reach bucket; all five buckets are always present as columns."""
-    bucketed = df.select(unclassified_as_label(F.col("classification")).alias("classification"),
-                         reach_bucket(F.col("state_reach") if "state_reach" in df.columns
-                                      else state_reach(F.col("distribution_pattern"))).alias("_bucket"))
-    return (bucketed.where(F.col("_bucket").isNotNull()).groupBy("classification")
-            .agg(*[F.count_if(F.col("_bucket") == b).alias(b) for b, _ in R.REACH_BUCKETS])
-            .orderBy("classification"))
+    bucketed = with_reach(df).select(unclassified_as_label(F.col("classification")).alias("classification"),
+                                     reach_bucket(F.col("state_reach")).alias("_bucket"))
+    return (bucketed.groupBy("classification")
+            .agg(F.count("_bucket").alias("_in_range"),
+                 *[F.count_if(F.col("_bucket") == b).alias(b) for b, _ in R.REACH_BUCKETS])
+            .where(F.col("_in_range") > 0).drop("_in_range").orderBy("classification"))
 
 
 def reason_shares(cells: DataFrame, types: list[str] = R.PRODUCT_TYPES) -> DataFrame:
@@ -116,11 +122,11 @@ def pearson_reach_vs_score(df: DataFrame) -> DataFrame:
 
     The quotient is written out: the built-in ``corr`` raises on a constant column in ANSI mode.
     """
-    reach = F.col("state_reach") if "state_reach" in df.columns else state_reach(F.col("distribution_pattern"))
-    pairs = df.select(reach.cast("double").alias("x"), F.col("risk_score").alias("y")).where(
-        F.col("x").isNotNull() & F.col("y").isNotNull())
-    sums = pairs.agg(F.count("*").alias("n"), F.covar_pop("x", "y").alias("_xy"),
-                     F.stddev_pop("x").alias("_x"), F.stddev_pop("y").alias("_y"))
+    pairs = with_reach(df).select(F.col("state_reach").cast("double").alias("x"), F.col("risk_score").alias("y"))
+    both = F.col("x").isNotNull() & F.col("y").isNotNull()
+    x, y = F.when(both, F.col("x")), F.when(both, F.col("y"))
+    sums = pairs.agg(F.count_if(both).alias("n"), F.covar_pop("x", "y").alias("_xy"),
+                     F.stddev_pop(x).alias("_x"), F.stddev_pop(y).alias("_y"))
     r = F.when(F.col("n") >= 3, F.try_divide(F.col("_xy"), F.col("_x") * F.col("_y")))
     return (sums.select(r.alias("_r"), "n").withColumn("_p", pearson_p("_r", "n"))
             .select(round_even(F.col("_r"), 3).alias("r"), round_even(F.col("_p"), 4).alias("p_value"),

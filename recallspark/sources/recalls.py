@@ -9,10 +9,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from recallspark.schemas import ANALYTICS_COLUMNS, FIRM_SCAN_COLUMNS, record_type
 
 
-def effective_date() -> F.Column:
-    return F.coalesce(F.col("report_date"), F.col("recall_initiation_date"))
-
-
 def load_recalls(recalls: DataFrame, start: date | None = None, end: date | None = None,
                  product_type: str | None = None, ordered: bool = True) -> DataFrame:
     """The analytics columns of the recalls in a date range, newest report first.
