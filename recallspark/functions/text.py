@@ -10,6 +10,12 @@ from recallspark.functions import rules as R
 _SPACE = (r"[\t-\r\x1c- \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
 
 
+# The same characters one by one, for trimming without a regular expression.
+_SPACE_CHARS = "".join(chr(i) for lo, hi in (
+    (0x09, 0x0d), (0x1c, 0x20), (0x85, 0x85), (0xa0, 0xa0), (0x1680, 0x1680), (0x2000, 0x200a), (0x2028, 0x2029),
+    (0x202f, 0x202f), (0x205f, 0x205f), (0x3000, 0x3000)) for i in range(lo, hi + 1))
+
+
 def squeeze(c: Column) -> Column:
     """Collapse white-space runs to one space and trim; null becomes the empty string."""
     return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), _SPACE + "+", " "))
@@ -17,7 +23,7 @@ def squeeze(c: Column) -> Column:
 
 def strip(c: Column) -> Column:
     """Remove white space at both ends, keep it inside; null stays null."""
-    return F.regexp_replace(c, f"^{_SPACE}+|{_SPACE}+$", "")
+    return F.btrim(c, F.lit(_SPACE_CHARS))
 
 
 def blank_to_null(c: Column) -> Column:
