@@ -13,7 +13,8 @@ SAMPLE = ["src1_load_recalls", "cat8_categorize", "rnk1_top_manufacturers", "tmp
 def test_registry():
     queries, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(queries) and len(queries) >= 80
-    assert set(queries) - set(sql) == {"rpt2_insights", "rpt4_lines"}
+    without = {name for name in set(queries) - set(sql) if not name.startswith("op") and name != "pipeline"}
+    assert without == {"rpt2_insights", "rpt4_lines"}
 
 
 def test_flagship(spark):
