@@ -6,12 +6,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from recallspark.llm.decontaminate import find_leaks
 from recallspark.llm.exact_dedup import exact_dedup
+from recallspark.llm.token_files import token_files
+
+
+def tokenizer_file(name: str) -> str:
+    """A public tokenizer's file, for the parameter of the operators."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=1)
+
+
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -38,6 +50,7 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))"""
 
 ENTRIES = {
+    "op2_token_files": (op2, None),
     "op3_decontaminate": (op3, OP3_SQL),
     "op4_exact_dedup": (op4, OP4_SQL),
 }
