@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from recallspark.llm.byte_bpe import encode_documents
 from recallspark.llm.decontaminate import find_leaks
 from recallspark.llm.exact_dedup import exact_dedup
 from recallspark.llm.token_files import token_files
@@ -49,8 +51,18 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))"""
 
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    encoded = encode_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"),
+                               public_tokenizers.PATTERN, decoded=True)
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                          F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 ENTRIES = {
     "op2_token_files": (op2, None),
     "op3_decontaminate": (op3, OP3_SQL),
     "op4_exact_dedup": (op4, OP4_SQL),
+    "op5_byte_bpe": (op5, None),
 }
