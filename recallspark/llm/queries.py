@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from recallspark.llm.byte_bpe import encode_documents
 from recallspark.llm.decontaminate import find_leaks
 from recallspark.llm.exact_dedup import exact_dedup
+from recallspark.llm.language_mixture import identify, remainder, train
 from recallspark.llm.token_files import token_files
 
 
@@ -22,6 +23,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    languages, likelihoods = train(docs.filter(remainder(F.col("doc_id"), 4) != 2))
+    return identify(docs, languages, likelihoods).select(
+        "doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "languages")
+
+
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=1)
 
@@ -61,6 +69,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ENTRIES = {
+    "op1_language_mixture": (op1, None),
     "op2_token_files": (op2, None),
     "op3_decontaminate": (op3, OP3_SQL),
     "op4_exact_dedup": (op4, OP4_SQL),
