@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from recallspark.llm.byte_bpe import encode_documents
 from recallspark.llm.decontaminate import find_leaks
 from recallspark.llm.exact_dedup import exact_dedup
-from recallspark.llm.language_mixture import identify, remainder, train
+from recallspark.llm import language_mixture, toxicity
+from recallspark.llm.language_mixture import remainder
 from recallspark.llm.token_files import token_files
 
 
@@ -25,8 +26,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    languages, likelihoods = train(docs.filter(remainder(F.col("doc_id"), 4) != 2))
-    return identify(docs, languages, likelihoods).select(
+    languages, likelihoods = language_mixture.train(docs.filter(remainder(F.col("doc_id"), 4) != 2))
+    return language_mixture.identify(docs, languages, likelihoods).select(
         "doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "languages")
 
 
@@ -68,7 +69,16 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.filter(remainder(F.col("doc_id"), 4) != 2))
+    return toxicity.score(docs, model).select(
+        "doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
 ENTRIES = {
+    "op6_toxicity": (op6, None),
     "op1_language_mixture": (op1, None),
     "op2_token_files": (op2, None),
     "op3_decontaminate": (op3, OP3_SQL),
