@@ -21,7 +21,7 @@ from recallspark.llm.batches import lists, pieces, texts
 
 SHORT = 64
 #: Text runs in each of the two generations of runs whose ids a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 _NONE = np.int64(1) << 60
 #: Two white-space characters in a row: then a text is cut by the pattern alone.
 _GAP = regex.compile(r"[\s\x1c-\x1f\x85]{2}")
@@ -97,7 +97,7 @@ class BytePairs:
             i = after[i]
         return ids
 
-    def merge_short(self, batch: list[bytes], size: int) -> list[np.ndarray]:
+    def merge_short(self, batch: list[bytes], size: int) -> list[bytes]:
         """Ids of many pieces of at most ``size`` bytes: one tree each, moved on together."""
         m, bits = len(batch), size.bit_length() - 1
         lengths = np.array([len(p) for p in batch])
@@ -139,18 +139,19 @@ class BytePairs:
             put(rows[has], left[has], self._rank_of(tokens[rows[has], left[has]], rank[has]))
             rows = rows[tree[rows, 1] < _NONE]
         alive = tokens >= 0
-        return np.split(tokens[alive], np.cumsum(alive.sum(axis=1))[:-1])
+        ids, ends = tokens[alive].astype("<i4").tobytes(), (4 * np.cumsum(alive.sum(axis=1))).tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
 
-    def encode_pieces(self, batch: list[bytes]) -> list[np.ndarray]:
-        """Ids of pieces, each encoded separately; a piece that is a token is that token."""
+    def encode_pieces(self, batch: list[bytes]) -> list[bytes]:
+        """Ids (as 32-bit integers) of pieces, each encoded separately; a piece that is a token is that token."""
         out: list = [None] * len(batch)
         by_size: dict[int, list[int]] = {}
         for i, piece in enumerate(batch):
             rank = self.ranks.get(piece)
             if rank is not None:
-                out[i] = np.array([rank])
+                out[i] = rank.to_bytes(4, "little")
             elif len(piece) > SHORT:
-                out[i] = np.array(self.merge_long(piece))
+                out[i] = np.array(self.merge_long(piece), dtype="<i4").tobytes()
             else:
                 by_size.setdefault(1 << max(1, (len(piece) - 1).bit_length()), []).append(i)
         for size, members in by_size.items():
@@ -162,15 +163,14 @@ class BytePairs:
 
     def _learn(self, runs: set[str]) -> None:
         """Remember the ids of text runs that the pattern cuts independently of their surroundings."""
-        if len(self.known) > REMEMBERED:
-            self.known, self.older = {}, self.known
         again = runs.intersection(self.older)
         self.known.update((r, self.older[r]) for r in again)
         new = list(runs.difference(again))
         matches = [self.pattern.findall(r) for r in new]
-        distinct = list({m for found in matches for m in found})
-        ids = {m: i.astype("<i4").tobytes() for m, i in zip(distinct, self.encode_pieces([m.encode() for m in distinct]))}
-        self.known.update((r, b"".join([ids[m] for m in found])) for r, found in zip(new, matches))
+        pieces_ = list(set().union(*matches).difference(self.known))
+        self.known.update(zip(pieces_, self.encode_pieces([p.encode() for p in pieces_])))
+        known = self.known
+        known.update((r, b"".join([known[m] for m in found])) for r, found in zip(new, matches) if len(found) != 1)
 
     def encode(self, batch: list[str]) -> list[np.ndarray]:
         """Ids of whole texts.
@@ -186,6 +186,8 @@ class BytePairs:
             else:
                 first, *rest = text.split(" ")
                 runs.append([first, *[" " + r for r in rest]])
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
         self._learn(set().union(*runs).difference(self.known))
         known = self.known.__getitem__
         return [np.frombuffer(b"".join(map(known, r)), dtype="<i4") for r in runs]
