@@ -12,6 +12,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from recallspark.session import scratch_dir
 SEGMENT = ("shard int, segment int, first_id long, n_ids long, doc_ids array<bigint>, doc_tokens array<bigint>, "
            "offsets binary, words binary, escaped binary")
 #: Words in each of the two generations of words whose ids a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 _RUN = re.compile(r"[^ \t\n\x0b\x0c\r]+")
 
 
@@ -40,19 +41,36 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def _learn(self, words: set[str]) -> None:
-        ends = {w for w in words if len(w) > 1 and w[-1] in ".," and w[:-1].isascii() and w[:-1].isalpha()}
-        whole = ((words - ends) | {w[:-1] for w in ends}.union(".,")).difference(self.known)
+        """Remember the ids of new words. ASCII letters are looked up in lower case, without what stands behind them."""
+        parts = {w: (w[:-1], w[-1]) for w in words if len(w) > 1 and w[-1] in ".," and w[:-1].isascii() and w[:-1].isalpha()}
+        low = {w: w.lower() for w in words if w.isascii() and w.isalpha()}
+        low.update((a, a.lower()) for a, _ in parts.values())
+        whole = words.difference(parts, low).union(low.values(), ".,").difference(self.known)
         again = whole.intersection(self.older)
         self.known.update((w, self.older[w]) for w in again)
-        whole = list(whole - again)
-        for word, found in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
+        single, other = [], []
+        for w in whole.difference(again):
+            (single if w.lower().isalpha() and is_normalized("NFC", w) else other).append(w)
+        # a word of letters alone is one token run, whose last token is a word end: many go through together
+        for start in range(0, len(single), 1000):
+            some = single[start:start + 1000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(some):
+                other.extend(some)
+                continue
+            self.known.update((w, i.tobytes()) for w, i in zip(some, np.split(ids, ends[:-1])))
+        for word, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
             self.known[word] = np.array(found.ids, dtype="<u4").tobytes()
-        for word in ends:
-            self.known[word] = self.known[word[:-1]] + self.known[word[-1]]
+        self.known.update((w, self.known[x]) for w, x in low.items())
+        self.known.update((w, self.known[a] + self.known[b]) for w, (a, b) in parts.items())
 
     def encode(self, batch: list[str]) -> list[np.ndarray]:
         runs = [_RUN.findall(t) for t in batch]
