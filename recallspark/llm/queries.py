@@ -10,6 +10,8 @@ from recallspark.llm.decontaminate import find_leaks
 from recallspark.llm.exact_dedup import exact_dedup
 from recallspark.llm import language_mixture, toxicity
 from recallspark.llm.language_mixture import remainder
+from recallspark.llm.licences import scan_licences
+from recallspark.llm.personal_data import find_personal_data, span_digest
 from recallspark.llm.token_files import token_files
 
 
@@ -77,7 +79,17 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(table(spark, sf_dir, "documents"))
+
+
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digest(find_personal_data(table(spark, sf_dir, "documents")))
+
+
 ENTRIES = {
+    "op8_licences": (op8, None),
+    "op10_personal_data": (op10, None),
     "op6_toxicity": (op6, None),
     "op1_language_mixture": (op1, None),
     "op2_token_files": (op2, None),
