@@ -15,13 +15,13 @@ from recallspark.llm.hashing import chain, span_hashes
 from recallspark.llm.language_mixture import _folded
 from recallspark.session import checkpoint
 
-#: Feature buckets. Features of fewer than MIN_DOCS rows of the sample are left out.
-BITS, MIN_DOCS = 26, 3
+#: Feature buckets. Features of fewer than MIN_DOCS rows or a MIN_SHARE of the sample are left out.
+BITS, MIN_DOCS, MIN_SHARE = 26, 3, 0.001
 #: FTRL-proximal: rate, its offset, L1 and L2.
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 10.0, 0.1
 #: The documented bound of the training sample (labelled rows), the rows of a shard, and how often
 #: the shards, each trained from the mean of all, go through their rows.
-SAMPLE, SHARD_ROWS, ROUNDS = 20_000, 5_000, 5
+SAMPLE, SHARD_ROWS, ROUNDS = 10_000, 5_000, 5
 
 
 def features(batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -64,7 +64,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     Learns from at most ``sample`` labelled rows, those with the smallest hashed ids; rows without
     text, id or label are left out. Shards of SHARD_ROWS rows each run FTRL from the mean state of
     the round before, and the states are averaged by feature. What the driver holds (the features
-    of MIN_DOCS rows or more) is bounded by the sample. Without a labelled row there are no weights.
+    frequent in it) is bounded by the sample. Without a labelled row there are no weights.
     """
     spark = docs.sparkSession
     marked = labels.select(labels[id_col].alias("doc_id"), labels[label_col].cast("int").alias("label")).dropna()
@@ -85,7 +85,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                           .mapInArrow(open_up, "doc_id long, buckets array<int>, label int")
                           .withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int")))
     common = (examples.select(F.explode("buckets").alias("bucket")).groupBy("bucket").count()
-              .filter(F.col("count") >= MIN_DOCS).select("bucket").toPandas()["bucket"])
+              .filter(F.col("count") >= max(MIN_DOCS, MIN_SHARE * rows)).select("bucket").toPandas()["bucket"])
     known = np.sort(common.to_numpy(dtype=np.int32))
     z, n = np.zeros(len(known) + 1), np.zeros(len(known) + 1)  # the last coordinate is the bias
     for _ in range(ROUNDS if rows else 0):
