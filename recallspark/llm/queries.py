@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from recallspark.llm.byte_bpe import encode_documents
 from recallspark.llm.decontaminate import find_leaks
 from recallspark.llm.exact_dedup import exact_dedup
+from recallspark.llm.jaccard_join import jaccard_components
 from recallspark.llm import language_mixture, toxicity
 from recallspark.llm.language_mixture import remainder
 from recallspark.llm.licences import scan_licences
@@ -83,12 +84,29 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licences(table(spark, sf_dir, "documents"))
 
 
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents")).drop("n_links")
+
+
+OP9_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                       '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                          WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS x, y.doc_id AS y FROM s x JOIN s y USING (s) JOIN n a ON a.doc_id = x.doc_id JOIN n b ON b.doc_id = y.doc_id
+      GROUP BY x.doc_id, y.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT r.doc_id, p.y FROM r JOIN p ON p.x = r.c)
+SELECT r.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r.c) AS component_id FROM r LEFT JOIN n USING (doc_id) GROUP BY r.doc_id"""
+
+
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digest(find_personal_data(table(spark, sf_dir, "documents")))
 
 
 ENTRIES = {
     "op8_licences": (op8, None),
+    "op9_jaccard_join": (op9, OP9_SQL),
     "op10_personal_data": (op10, None),
     "op6_toxicity": (op6, None),
     "op1_language_mixture": (op1, None),
