@@ -11,7 +11,6 @@ others are intersected exactly. No link between different sets is lost.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -23,8 +22,8 @@ from pyspark.sql import functions as F
 
 from recallspark.llm.batches import pieces, texts
 from recallspark.llm.components import components
+from recallspark.llm.storage import stored
 from recallspark.llm.word_sets import shingle_sets
-from recallspark.session import scratch_dir
 
 #: Two sets link when PERCENT is at most their intersection over their union; words of a shingle.
 PERCENT, WIDTH = 75, 5
@@ -219,7 +218,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, sets: DataFrame, percent: int, br
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     needed = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    ids = _stored(needed.join(sets, "key").select(F.col("class_id").alias("doc_id"), "key"))
+    ids = stored(needed.join(sets, "key").select(F.col("class_id").alias("doc_id"), "key"))
     few = ids.count() <= broadcast_rows
     rows = docs.join(F.broadcast(ids.select("doc_id")) if few else ids.select("doc_id"), "doc_id", "left_semi")
     # rows that share an id with a needed one make sets too: only the needed keys count, once each
@@ -263,14 +262,6 @@ def _tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return (spread.join(mixed, ["list", "tile"]).groupBy("list", "tile").applyInPandas(compare, "a long, b long").distinct())
 
 
-def _stored(df: DataFrame) -> DataFrame:
-    """Written to the shared folder and read again: cuts lineage, and Spark knows the size."""
-    spark = df.sparkSession
-    folder = f"{scratch_dir(spark)}/sets-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
-
-
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
                        broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``doc_id, n_shingles, component_id, n_links`` of every row.
@@ -284,22 +275,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     result; it is the component of its set only if all its ids are null.
     """
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    survey = _stored(_survey(rows))
+    survey = stored(_survey(rows))
     found = survey.filter("shingle IS NULL")
-    sets = _stored(found.filter("n > 0").groupBy("key", "n").agg(F.min("doc_id").alias("class_id"), F.first("bitmap").alias("bitmap")))
+    sets = stored(found.filter("n > 0").groupBy("key", "n").agg(F.min("doc_id").alias("class_id"), F.first("bitmap").alias("bitmap")))
     frequent = (survey.filter("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("times").alias("times"))
                 .orderBy(F.desc("times"), "shingle").limit(FREQUENT).collect())
     last = np.array([r.shingle for r in reversed(frequent)], dtype=np.int64).view(np.uint64)
-    candidates = _stored(_candidates(_postings(rows, last, percent), percent))
+    candidates = stored(_candidates(_postings(rows, last, percent), percent))
     near = (F.col("a") != F.col("b")) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
     pairs = candidates.filter(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    first = _stored(_linked(_stored(_possible(pairs, sets, percent)), rows, sets, percent, broadcast_rows))
+    first = stored(_linked(stored(_possible(pairs, sets, percent)), rows, sets, percent, broadcast_rows))
     labels = components(first)
     members = (candidates.filter("list IS NOT NULL").select("list", F.col("a").alias("key"))
                .join(labels.withColumnRenamed("id", "key"), "key", "left")
                .select("list", "key", F.coalesce("label", "key").alias("component")))
-    second = _linked(_stored(_tiles(_stored(members), sets, percent)), rows, sets, percent, broadcast_rows)
-    edges = _stored(first.unionByName(second).distinct())
+    second = _linked(stored(_tiles(stored(members), sets, percent)), rows, sets, percent, broadcast_rows)
+    edges = stored(first.unionByName(second).distinct())
     labels = components(edges)
     ends = edges.select(F.col("a").alias("key")).unionByName(edges.select(F.col("b").alias("key")))
     degree = ends.groupBy("key").agg(F.count(F.lit(1)).alias("n_links"))

@@ -9,6 +9,7 @@ from recallspark.llm.byte_bpe import encode_documents
 from recallspark.llm.decontaminate import find_leaks
 from recallspark.llm.exact_dedup import exact_dedup
 from recallspark.llm.jaccard_join import jaccard_components
+from recallspark.llm.katz import katz_scores
 from recallspark.llm import language_mixture, toxicity
 from recallspark.llm.language_mixture import remainder
 from recallspark.llm.licences import scan_licences
@@ -80,6 +81,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz_scores(table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 5) == 1)
+
+
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licences(table(spark, sf_dir, "documents"))
 
@@ -105,6 +110,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ENTRIES = {
+    "op7_katz": (op7, None),
     "op8_licences": (op8, None),
     "op9_jaccard_join": (op9, OP9_SQL),
     "op10_personal_data": (op10, None),
