@@ -157,8 +157,9 @@ def infer(batch: list[str], table: np.ndarray) -> np.ndarray:
     return shares
 
 
-def identify(docs: DataFrame, languages: list[str], table: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, lang_pred, score, languages`` of every whole text.
+def identify(docs: DataFrame, languages: list[str], table: np.ndarray, id_col: str = "doc_id", text_col: str = "text",
+             carry: bool = False) -> DataFrame:
+    """``doc_id, lang_pred, score, languages`` of every whole text; with ``carry`` the input row, too, as struct ``row``.
 
     ``lang_pred`` has the largest share (the first by name of equal ones), ``score`` is that share
     and ``languages`` maps the chosen languages to theirs. A text that is null, empty or without
@@ -167,6 +168,7 @@ def identify(docs: DataFrame, languages: list[str], table: np.ndarray, id_col: s
     """
     model = docs.sparkSession.sparkContext.broadcast((languages, table))
     kind = pa.map_(pa.string(), pa.float64())
+    names_out = ["doc_id", "lang_pred", "score", "languages"] + ["row"] * carry
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, likelihoods = model.value
@@ -174,15 +176,17 @@ def identify(docs: DataFrame, languages: list[str], table: np.ndarray, id_col: s
             shares = infer(texts(batch), likelihoods)
             top = shares.argmax(axis=1) if names else np.zeros(len(shares), dtype=int)
             score = shares.max(axis=1) if names else np.zeros(len(shares))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()),
-                 pa.array([names[i] if s > 0 else UNDETERMINED for i, s in zip(top, score)], pa.string()),
-                 pa.array(np.minimum(score, 1.0)),
-                 pa.array([[(names[i], float(row[i])) for i in np.flatnonzero(row)] for row in shares], kind)],
-                names=["doc_id", "lang_pred", "score", "languages"])
-
-    plain = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-    return plain.mapInArrow(run, "doc_id long, lang_pred string, score double, languages map<string,double>")
+            columns = [batch.column(0).cast(pa.int64()),
+                       pa.array([names[i] if s > 0 else UNDETERMINED for i, s in zip(top, score)], pa.string()),
+                       pa.array(np.minimum(score, 1.0)),
+                       pa.array([[(names[i], float(row[i])) for i in np.flatnonzero(row)] for row in shares], kind)]
+            yield pa.RecordBatch.from_arrays(columns + [batch.column(2)] * carry, names=names_out)
+
+    plain = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), *[F.struct("*").alias("row")] * carry)
+    schema = "doc_id long, lang_pred string, score double, languages map<string,double>"
+    if carry:
+        schema += f", row {docs.schema.simpleString()}"
+    return plain.mapInArrow(run, schema)
 
 
 def remainder(doc_id: Column, modulus: int) -> Column:
