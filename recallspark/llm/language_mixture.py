@@ -180,7 +180,7 @@ def identify(docs: DataFrame, languages: list[str], table: np.ndarray, id_col: s
                        pa.array([names[i] if s > 0 else UNDETERMINED for i, s in zip(top, score)], pa.string()),
                        pa.array(np.minimum(score, 1.0)),
                        pa.array([[(names[i], float(row[i])) for i in np.flatnonzero(row)] for row in shares], kind)]
-            yield pa.RecordBatch.from_arrays(columns + [batch.column(2)] * carry, names=names_out)
+            yield pa.RecordBatch.from_arrays(columns + ([batch.column(2)] if carry else []), names=names_out)
 
     plain = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), *[F.struct("*").alias("row")] * carry)
     schema = "doc_id long, lang_pred string, score double, languages map<string,double>"
