@@ -1,7 +1,7 @@
 """SQL building blocks of the DuckDB checks: the stand-in view, the category and the score columns."""
 
 from recallspark.functions import rules as R
-from recallspark.sources.standin import RECALL_VIEW_SQL
+from checks.standin import RECALL_VIEW_SQL
 
 TABLES = {n: n for n in ("lineitem", "orders", "part", "supplier", "nation")}
 VIEW = f"({RECALL_VIEW_SQL.format(**TABLES)})"
@@ -11,8 +11,8 @@ def r_even(expr: str, digits: int) -> str:
     return f"(round_even(({expr}) * {10 ** digits}.0::DOUBLE, 0) / {10 ** digits}.0::DOUBLE)"
 
 
-def any_word(text: str, keywords: str) -> str:
-    return "(" + " OR ".join(f"contains({text}, '{w}')" for w in R.words(keywords)) + ")"
+def any_word(text: str, keywords: list[str]) -> str:
+    return "(" + " OR ".join(f"contains({text}, '{w}')" for w in keywords) + ")"
 
 
 def match_case(text: str, rules) -> str:
@@ -28,7 +28,7 @@ REACH = (
     "CASE WHEN distribution_pattern IS NULL THEN 0 "
     f"WHEN {any_word('lower(distribution_pattern)', R.REACH_EVERYWHERE_WORDS)} THEN 50 "
     "ELSE list_unique(regexp_extract_all(distribution_pattern, '\\b[A-Z]{2}\\b')) + "
-    + " + ".join(f"contains(lower(distribution_pattern), '{n}')::INT" for n in R.words(R.STATE_NAMES)) + " END")
+    + " + ".join(f"contains(lower(distribution_pattern), '{n}')::INT" for n in R.STATE_NAMES) + " END")
 
 QUANTITY = "TRY_CAST(replace(regexp_extract(product_quantity, '[0-9,]+'), ',', '') AS DECIMAL(38,0))"
 

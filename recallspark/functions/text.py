@@ -35,17 +35,17 @@ def join_filled(*parts: Column) -> Column:
     return F.concat_ws(" ", *[blank_to_null(p) for p in parts])
 
 
-def contains_any(haystack: Column, keywords: str) -> Column:
-    """True when any keyword of the comma-separated list is a substring.
+def contains_any(haystack: Column, keywords: list[str]) -> Column:
+    """True when any keyword of the list is a substring.
 
     A literal array under ``exists`` keeps the generated code small: one expression per rule
     instead of one branch per keyword, which would pass the size the JIT compiles.
     """
-    needles = F.array(*[F.lit(w) for w in R.words(keywords)])
+    needles = F.array(*[F.lit(w) for w in keywords])
     return F.exists(needles, lambda w: F.contains(haystack, w))
 
 
-def first_match(haystack: Column, rules: list[tuple[str, str]]) -> Column:
+def first_match(haystack: Column, rules: list[tuple[str, list[str]]]) -> Column:
     """Label of the first rule with a keyword inside the (already lower-cased) text."""
     (label, keywords), *rest = rules
     chain = F.when(contains_any(haystack, keywords), label)
@@ -76,7 +76,7 @@ def state_reach(c: Column) -> Column:
     text = F.coalesce(c, F.lit(""))
     lowered = F.lower(text)
     tokens = F.size(F.array_distinct(F.regexp_extract_all(text, F.lit(r"\b([A-Z]{2})\b"), F.lit(1))))
-    names = F.array(*[F.lit(n) for n in R.words(R.STATE_NAMES)])
+    names = F.array(*[F.lit(n) for n in R.STATE_NAMES])
     named = F.size(F.filter(names, lambda n: F.contains(lowered, n)))
     return F.when(contains_any(lowered, R.REACH_EVERYWHERE_WORDS), R.REACH_EVERYWHERE).otherwise(tokens + named)
 
