@@ -17,7 +17,7 @@ from recallspark.operators.merge import rebuild_firms
 from recallspark.operators.risk import score, tier_distribution
 from recallspark.schemas import ANALYTICS_COLUMNS
 from recallspark.sources.recalls import load_firms, load_recalls
-from recallspark.sources.standin import recall_view, run_log_view, spread, table
+from checks.standin import recall_view, run_log_view, table
 
 
 def categorised(spark, sf_dir) -> DataFrame:
@@ -63,7 +63,7 @@ def src1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents"), "doc_id").withColumn("_text", F.lower("text"))
+    docs = table(spark, sf_dir, "documents").withColumn("_text", F.lower("text"))
     return docs.select("doc_id", *[C.first_match(F.col("_text"), rules).alias(name) for name, rules in (
         ("therapeutic_area", R.THERAPEUTIC_AREAS), ("device_type", R.DEVICE_TYPES),
         ("food_type", R.FOOD_TYPES), ("reason_category", R.RECALL_REASONS))])

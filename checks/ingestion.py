@@ -16,11 +16,11 @@ from recallspark.operators.dedupe import dedupe, dedupe_one_source
 from recallspark.operators.merge import api_only, change_counts, merge_firms, merge_recalls, rebuild_firms
 from recallspark.operators.normalize import device_class, normalize
 from recallspark.operators.validate import batch_counts, quarantine, valid_rows, validate
-from recallspark.plans.ingest import sum_runs
+from recallspark.plans.ingest import run_errors, sum_runs
 from recallspark.schemas import RECORD_COLUMNS
 from recallspark.session import checkpoint, scratch_dir
 from recallspark.sources.landing import completeness, explode_records, in_date_range
-from recallspark.sources.standin import RECALL_VIEW_SQL, recall_view as _view, spread, table
+from checks.standin import RECALL_VIEW_SQL, recall_view as _view, table
 from recallspark.sources.store import read_table
 from recallspark.sources.webpages import infer_product_type, parse_alerts, pseudo_id
 from recallspark.sources.windows import backfill_windows, daily_window
@@ -137,7 +137,7 @@ def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The crawled pages with their navigation links turned into alert list rows."""
     html = F.replace(F.replace("html", F.lit("<nav><ul>"), F.lit('<div class="view-content">')), F.lit("<li>"),
                      F.lit('<div class="item views-row"><time>March 5, 2024</time><h3>'))
-    return spread(table(spark, sf_dir, "pages"), "page_id").select("page_id", F.replace(html, F.lit("</li>"), F.lit("</h3></div>")).alias("html"))
+    return table(spark, sf_dir, "pages").select("page_id", F.replace(html, F.lit("</li>"), F.lit("</h3></div>")).alias("html"))
 
 
 def alert_list(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,7 +181,7 @@ def web_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"), "doc_id").select("doc_id", squeeze(F.col("text")).alias("clean_text"))
+    return table(spark, sf_dir, "documents").select("doc_id", squeeze(F.col("text")).alias("clean_text"))
 
 
 _SPACES = (r"[\t-\r\x1c- \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+")
@@ -189,7 +189,7 @@ _SPACES = (r"[\t-\r\x1c- \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x
 
 def document_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
-    return spread(table(spark, sf_dir, "documents"), "doc_id").select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id", infer_product_type(text, F.col("source")).alias("product_type"),
         pseudo_id(F.col("lang"), F.col("source"), text).alias("web_id"))
 
@@ -245,7 +245,7 @@ def on_normalized(sql: str) -> str:
 
 def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long texts as record fields: wrong product types and fields wider than the stored columns."""
-    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
+    docs = table(spark, sf_dir, "documents")
     fields = {"recall_number": F.col("doc_id").cast("string"), "product_type": F.when(F.col("doc_id") % 5 == 0, F.col("lang")).otherwise("Food"),
               "recalling_firm": F.col("text"), "reason_for_recall": F.when(F.col("lang") == "en", " ").otherwise(F.col("text")),
               "state": F.col("source")}
@@ -315,13 +315,16 @@ def firms_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log rows summed to run totals, the errors of failed runs in time order."""
+    """Log rows summed to run totals."""
+    return sum_runs(run_rows(spark, sf_dir))
+
+
+def run_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    runs = events.select("event_id", F.col("user_id").alias("records_fetched"), F.col("user_id").alias("records_inserted"),
+    return events.select("event_id", F.col("user_id").alias("records_fetched"), F.col("user_id").alias("records_inserted"),
                          F.lit(0).cast("long").alias("records_updated"), F.lit(1).cast("long").alias("records_skipped"),
                          F.get_json_object("props", "$.k").cast("long").alias("validation_failures"),
-                         F.when((F.col("event_type") == "error") & (F.col("value") > 30), F.col("props")).alias("error"))
-    return sum_runs(runs, "event_id").withColumn("errors", F.array_join("errors", ";"))
+                         F.when(F.col("event_type") == "error", F.col("props")).alias("error"))
 
 
 def counts_after_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -442,7 +445,9 @@ ENTRIES = {
     "ing6_run_totals": (run_counters, """
         SELECT sum(user_id)::BIGINT AS records_fetched, sum(user_id)::BIGINT AS records_inserted, 0::BIGINT AS records_updated,
         count(*) AS records_skipped, sum((props->>'$.k')::BIGINT)::BIGINT AS validation_failures,
-        coalesce(string_agg(props, ';' ORDER BY event_id) FILTER (event_type = 'error' AND value > 30), '') AS errors FROM events"""),
+        count(props) FILTER (event_type = 'error') AS n_errors FROM events"""),
+    "ing6_run_errors": (lambda s, d: run_errors(run_rows(s, d), "event_id"),
+                        "SELECT event_id, props AS error FROM events WHERE event_type = 'error' AND props IS NOT NULL"),
     "ing8_stream_upsert": (streamed, on_recalls(f""", valid AS (SELECT * EXCLUDE (report_date, status, recall_initiation_date),
         CASE WHEN report_date <= DATE '{AS_OF}' THEN report_date END AS report_date,
         CASE status WHEN 'On-Going' THEN 'Ongoing' ELSE status END AS status FROM recalls WHERE reason_for_recall <> '')

@@ -61,18 +61,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal out a table that comes in fewer splits than there are cores (a few small files), by
-    the hash of its near-unique key columns; a table with enough splits pays no shuffle."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def recall_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recalls derived from line items, with the columns the tables lack as typed nulls."""
     names = ("lineitem", "orders", "part", "supplier", "nation")
     tables = {n: table(spark, sf_dir, n) for n in names}
-    view = spark.sql(RECALL_VIEW_SQL, **(tables | {"lineitem": spread(tables["lineitem"], "l_orderkey", "l_partkey", "l_suppkey")}))
+    view = spark.sql(RECALL_VIEW_SQL, **tables)
     return view.withColumns({**{c: F.lit(None).cast("string") for c in _ABSENT},
                              "termination_date": F.lit(None).cast("date"),
                              "ingest_ord": F.struct(*ARRIVAL)})

@@ -39,8 +39,8 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
             change = c * d
             result *= change
         if abs(change - 1.0) < 1e-15:
-            break
-    return result
+            return result
+    raise ArithmeticError(f"incomplete beta function did not converge at a={a}, b={b}, x={x}")
 
 
 def beta_ratio(a: float, b: float, x: float) -> float:
@@ -56,10 +56,18 @@ def beta_ratio(a: float, b: float, x: float) -> float:
     return 1.0 - front * _beta_fraction(b, a, 1.0 - x) / b
 
 
+# Above this number of pairs the t distribution is the normal one to about eight digits, while
+# differences of log-gammas lose digits.
+_NORMAL_FROM = 10_000_000
+
+
 def pearson_tail(r: float, n: int) -> float:
     """Two-sided p-value of a correlation coefficient."""
     if n == 2:
         return 1.0
+    if n >= _NORMAL_FROM:
+        rest = 1.0 - r * r
+        return math.erfc(abs(r) * math.sqrt((n - 2) / rest) / math.sqrt(2.0)) if rest > 0 else 0.0
     return beta_ratio((n - 2) / 2.0, 0.5, 1.0 - min(1.0, r * r))
 
 

@@ -120,11 +120,8 @@ def coverage_matrix(recalls: DataFrame) -> DataFrame:
 
 def coverage_gaps(recalls: DataFrame) -> DataFrame:
     """Months without a record per product type, between the first and last month of any type."""
-    everything = W.partitionBy()
-    cells = monthly_coverage(recalls).select(
-        "month", "product_type", F.min("month").over(everything).alias("_from"),
-        F.max("month").over(everything).alias("_to"))
-    per_type = cells.groupBy("product_type").agg(
-        F.collect_set("month").alias("_seen"), F.first("_from").alias("_from"), F.first("_to").alias("_to"))
-    spine = F.sequence("_from", "_to", F.expr("interval 1 month"))
+    month = month_of(F.col("report_date"))
+    spine = F.sequence(recalls.agg(F.min(month)).scalar(), recalls.agg(F.max(month)).scalar(), F.expr("interval 1 month"))
+    per_type = (recalls.where(F.col("report_date").isNotNull()).groupBy("product_type")
+                .agg(F.collect_set(month).alias("_seen")))
     return per_type.select("product_type", F.explode(F.array_except(spine, "_seen")).alias("missing_month"))

@@ -17,12 +17,13 @@ def _class_count(label: str) -> Column:
 
 
 def pick_firm_column(df: DataFrame) -> str | None:
-    """The first firm column with any value. Reads rows only until one is found; pass the column
-    to the rankings to skip even that."""
-    for name in ("recalling_firm", "manufacturer_name"):
-        if name in df.columns and df.where(F.col(name).isNotNull()).select(F.lit(1)).take(1):
-            return name
-    return None
+    """The first firm column with any value: one pass over both; pass the column to the rankings to
+    skip it."""
+    names = [name for name in ("recalling_firm", "manufacturer_name") if name in df.columns]
+    if not names:
+        return None
+    filled = df.agg(*[F.bool_or(F.col(name).isNotNull()).alias(name) for name in names]).first()
+    return next((name for name in names if filled[name]), None)
 
 
 def _ranked(grouped: DataFrame, key: str, top_n: int | None) -> DataFrame:

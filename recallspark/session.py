@@ -27,9 +27,11 @@ def build_session(app: str = "recallspark", master: str | None = None, **conf: s
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder for cut lineage: the one the cluster names, else (tests) a new local one."""
+    """The shared folder for cut lineage: the one the cluster names, else, with a local master, a new local one."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="recallspark-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")

@@ -8,7 +8,7 @@ table, so a batch repeated after a failure does no harm.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -39,7 +39,7 @@ def upsert_stream(records: DataFrame, table_path: str, checkpoint: str,
         validate(prepare(batch), as_of).write.mode("overwrite").parquet(f"{staged}/validated")
         winners = dedupe(valid_rows(spark.read.parquet(f"{staged}/validated")))
         winners.write.mode("overwrite").parquet(f"{staged}/batch")
-        counts = upsert_recalls(spark, table_path, spark.read.parquet(f"{staged}/batch"), now or datetime.utcnow())
+        counts = upsert_recalls(spark, table_path, spark.read.parquet(f"{staged}/batch"), now or datetime.now(timezone.utc).replace(tzinfo=None))
         if on_batch:
             on_batch(batch_id, *counts)
 

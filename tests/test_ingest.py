@@ -199,7 +199,7 @@ def test_ingest_twice_then_update(spark, tmp_path):
     job, as_of = RecallIngest(spark, str(landing), str(root)), date(2026, 1, 12)
     first = job.run_daily(as_of, pages, datetime(2026, 1, 12)).first()
     assert (first.records_fetched, first.records_inserted, first.records_updated, first.records_skipped,
-            first.validation_failures, first.errors) == (6, 4, 0, 1, 1, [])
+            first.validation_failures, first.n_errors) == (6, 4, 0, 1, 1, 0)
     again = job.run_daily(as_of, pages, datetime(2026, 1, 13)).first()
     assert (again.records_inserted, again.records_updated) == (0, 4)
     land(landing, "Drugs", "p0.json", [{**DRUG, "status": "Terminated", "recalling_firm": "Renamed", "report_date": "20260111"}])
@@ -220,7 +220,7 @@ def test_one_endpoint_failing_leaves_the_others(spark, tmp_path):
     land(tmp_path, "Drugs", "p0.json", [DRUG])
     job = RecallIngest(spark, str(tmp_path), str(tmp_path / "store"), firm_mode="incremental")
     totals = job.run_daily(date(2026, 1, 12)).first()
-    assert totals.records_inserted == 1 and len(totals.errors) == 2
+    assert totals.records_inserted == 1 and totals.n_errors == 2
     assert job.run_backfill(date(2026, 1, 20), 2026, 2026, ["Drugs"]) == 1
     assert spark.read.parquet(f"{tmp_path}/store/firms").first().total_recalls == 2   # counted again, as documented
 
