@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recallspark.schemas import ANALYTICS_COLUMNS, FIRM_SCAN_COLUMNS, record_type
+from recallspark.sources.store import read_table
 
 
 def load_recalls(recalls: DataFrame, start: date | None = None, end: date | None = None,
@@ -27,6 +28,10 @@ def load_recalls(recalls: DataFrame, start: date | None = None, end: date | None
             return tests[0] if len(tests) == 1 else tests[0] & tests[1]
         reported, begun = F.col("report_date"), F.col("recall_initiation_date")
         kept = kept.where(within(reported) | (reported.isNull() & within(begun)))
+        if "report_month" in recalls.columns:  # undated rows lie in the partition without a month
+            month = F.col("report_month")
+            bounds = ([month >= F.lit(start.replace(day=1))] if start is not None else []) + ([month <= F.lit(end)] if end is not None else [])
+            kept = kept.where(month.isNull() | (bounds[0] if len(bounds) == 1 else bounds[0] & bounds[1]))
     known = set(recalls.columns)
     scan = kept.select(*[F.col(c) if c in known else F.lit(None).cast(record_type(c)).alias(c)
                          for c in ANALYTICS_COLUMNS])
@@ -41,4 +46,4 @@ def load_firms(firms: DataFrame) -> DataFrame:
 
 def read_recalls(spark: SparkSession, path: str) -> DataFrame:
     """The stored recall table (partitioned by product type and report month)."""
-    return spark.read.parquet(path)
+    return read_table(spark, path)

@@ -17,7 +17,7 @@ from recallspark.operators.dedupe import dedupe
 from recallspark.operators.normalize import normalize
 from recallspark.operators.validate import valid_rows, validate
 from recallspark.sources.landing import PAGE_TEXT, explode_records, page_columns
-from recallspark.sources.store import upsert_recalls
+from recallspark.sources.store import drop_folder, upsert_recalls
 
 
 def landing_stream(spark: SparkSession, landing: str, files_per_batch: int = 1000) -> DataFrame:
@@ -40,6 +40,7 @@ def upsert_stream(records: DataFrame, table_path: str, checkpoint: str,
         winners = dedupe(valid_rows(spark.read.parquet(f"{staged}/validated")))
         winners.write.mode("overwrite").parquet(f"{staged}/batch")
         counts = upsert_recalls(spark, table_path, spark.read.parquet(f"{staged}/batch"), now or datetime.now(timezone.utc).replace(tzinfo=None))
+        drop_folder(spark, staged)
         if on_batch:
             on_batch(batch_id, *counts)
 

@@ -12,9 +12,12 @@ from recallspark.operators.merge import merge_firms, rebuild_firms
 from recallspark.operators.normalize import normalize
 from recallspark.operators.validate import batch_counts, quarantine, unexpected_classes, valid_rows, validate
 from recallspark.plans.ingest import RecallIngest
+from recallspark.sources import landing
 from recallspark.sources.landing import completeness, explode_records, get_records, page_sizes, read_pages
 from recallspark.sources.recalls import load_recalls
-from recallspark.sources.store import duplicated_keys, export_lines, export_sections, read_table
+from recallspark.schemas import FIRMS, RECALLS
+from recallspark.sources import store
+from recallspark.sources.store import duplicated_keys, export_lines, export_sections, read_table, remove_old_versions, run_log, upsert_recalls
 from recallspark.sources.webpages import parse_alerts
 from recallspark.sources.windows import backfill_windows, daily_window
 from recallspark.streaming.ingest import ingest_landing
@@ -209,9 +212,10 @@ def test_ingest_twice_then_update(spark, tmp_path):
     drug = stored["D-1"]
     assert (drug.status, drug.recalling_firm, drug.report_date) == ("Terminated", "Acme Labs", date(2026, 1, 10))
     assert (drug.first_seen_at, drug.last_updated_at) == (datetime(2026, 1, 12), datetime(2026, 1, 14))
-    firms = {r.name: r.total_recalls for r in spark.read.parquet(f"{root}/firms").collect()}
+    firms = {r.name: r.total_recalls for r in read_table(spark, f"{root}/firms", FIRMS).collect()}
     assert firms == {"Acme Labs": 2, "Dev": 1}
-    assert spark.read.parquet(f"{root}/ingestion_logs").where("status = 'success'").count() == 11
+    assert run_log(spark, f"{root}/ingestion_logs").where("status = 'success'").count() == 11
+    assert {tuple(r.errors) for r in spark.read.parquet(f"{root}/quarantine").collect()} == {("required:reason_for_recall",)}
     newest = load_recalls(read_table(spark, job.recalls_path), date(2026, 1, 9), date(2026, 1, 31)).collect()
     assert [r.report_date for r in newest] == sorted((r.report_date for r in newest), reverse=True) and len(newest) == 4
 
@@ -222,7 +226,7 @@ def test_one_endpoint_failing_leaves_the_others(spark, tmp_path):
     totals = job.run_daily(date(2026, 1, 12)).first()
     assert totals.records_inserted == 1 and totals.n_errors == 2
     assert job.run_backfill(date(2026, 1, 20), 2026, 2026, ["Drugs"]) == 1
-    assert spark.read.parquet(f"{tmp_path}/store/firms").first().total_recalls == 2   # counted again, as documented
+    assert read_table(spark, f"{tmp_path}/store/firms", FIRMS).first().total_recalls == 2   # counted again, as documented
 
 
 def test_stream_replay_inserts_nothing(spark, tmp_path):
@@ -294,3 +298,47 @@ def test_exports(spark, tmp_path):
     assert [r.value for r in spark.read.text(str(tmp_path / "text")).collect()] == ["first", "second"]
     export_sections({"a": df, "b": df}, str(tmp_path / "sections"), "json")
     assert spark.read.json(f"{tmp_path}/sections/b").count() == 2
+
+
+def test_a_lost_writer_leaves_the_table_whole(spark, tmp_path, monkeypatch):
+    path, now = str(tmp_path / "recalls"), datetime(2026, 1, 1)
+
+    def batch(*rows):
+        names = ["recall_number", "product_type", "status", "report_date"]
+        frame = spark.createDataFrame([r for r in rows], "recall_number string, product_type string, status string, report_date date")
+        return frame.select(*[F.col(f.name) if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in RECALLS.fields if f.name not in
+                              ("first_seen_at", "last_updated_at", "created_at")])
+
+    def stored():
+        return {r.recall_number: (r.status, r.report_month) for r in read_table(spark, path).collect()}
+
+    first = batch(("A", "Drugs", "Ongoing", date(2026, 1, 5)), ("B", "Food", "Ongoing", None), ("C", "Food", "Ongoing", date(2025, 3, 1)))
+    assert upsert_recalls(spark, path, first, now) == (3, 0)
+    before = stored()
+    second = batch(("A", "Drugs", "Completed", date(2026, 2, 5)), ("B", "Food", "Completed", None), ("D", "Drugs", "Ongoing", date(2026, 2, 1)))
+    with monkeypatch.context() as patch:
+        patch.setattr(store, "publish", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+        with pytest.raises(KeyboardInterrupt):
+            upsert_recalls(spark, path, second, now)
+    assert stored() == before
+    assert upsert_recalls(spark, path, second, now) == (1, 2)
+    after = stored()
+    assert set(after) == set("ABCD") and after["C"] == before["C"] and after["A"][0] == after["B"][0] == "Completed"
+    assert upsert_recalls(spark, path, second, now) == (0, 3) and stored() == after
+    assert remove_old_versions(spark, path) > 0 and stored() == after
+    plan = load_recalls(read_table(spark, path), date(2026, 1, 1), date(2026, 1, 31))._jdf.queryExecution().toString()
+    assert "report_month" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    with pytest.raises(store.TableChanged):
+        store.publish(spark, path, store.current(spark, path)[0], [])
+
+
+def test_dates_in_other_spellings_and_broken_pages(spark, tmp_path):
+    land(tmp_path, "Drugs", "p0.json", [{**DRUG, "report_date": "2026-01-09"}, {**DRUG, "recall_number": "D-3", "report_date": "soon"}])
+    (tmp_path / "Drugs" / "p1.json").write_text("{not json")
+    job = RecallIngest(spark, str(tmp_path), str(tmp_path / "store"))
+    row = job.run_endpoint("Drugs", date(2026, 1, 1), date(2026, 1, 31), "daily", date(2026, 2, 1))
+    assert (row["status"], row["records_inserted"], row["validation_failures"]) == ("success", 1, 1)
+    held = spark.read.parquet(f"{tmp_path}/store/quarantine").collect()
+    assert [tuple(r.errors) for r in held] == [("corrupt_page",)] and held[0].file.endswith("p1.json") and held[0].run_id == row["run_id"]
+    lost = landing.undatable(landing.explode_records(read_pages(spark, str(tmp_path), "Drugs"))).collect()
+    assert [(r.product_type, r.records) for r in lost] == [("Drugs", 1)]
