@@ -222,8 +222,9 @@ def _insights(summary: DataFrame, sections: dict[str, DataFrame]) -> DataFrame:
     def first(name: str) -> DataFrame:
         return sections[name].limit(1)
 
-    klass = sections["by_classification"]
-    share = klass.withColumn("_share", F.col("total_recalls") / F.sum("total_recalls").over(W.partitionBy()) * 100.0)
+    # the share is one of all rows, those without a recall number too
+    share = sections["by_classification"].withColumn(
+        "_share", F.col("total_recalls") / summary.select("total_recalls").scalar() * 100.0)
     top_class = share.orderBy(F.desc("total_recalls"), F.asc("classification")).limit(1)
     trend, up, down = sections["trend_stats"], F.col("slope") > 0.5, F.col("slope") < -0.5
     lines = [
@@ -283,6 +284,7 @@ def report_lines(report: Report, title: str = "Recall Surveillance") -> DataFram
     """
     spark = report.summary.sparkSession
     has_data = report.summary.where(F.col("total_recalls") > 0)
+    any_data = report.summary.select("total_recalls").scalar() > 0
 
     def fixed(rows: list[tuple[int, str]]) -> DataFrame:
         return spark.createDataFrame([(b, float(i), "", text) for i, (b, text) in enumerate(rows)], _LINE)
@@ -290,6 +292,12 @@ def report_lines(report: Report, title: str = "Recall Surveillance") -> DataFram
     def said(df: DataFrame, block: int, sort: float, line: Column) -> DataFrame:
         return df.select(F.lit(block).alias("block"), F.lit(sort).alias("sort"), F.lit("").alias("tie"), line.alias("line"))
 
+    def several(df: DataFrame, block: int, rows: list[tuple[float, str | Column]]) -> DataFrame:
+        """All the lines of one small frame's row, in one pass over it."""
+        told = F.array(*[F.struct(F.lit(sort).alias("sort"), (F.lit(x) if isinstance(x, str) else x).alias("line")) for sort, x in rows])
+        return df.select(F.lit(block).alias("block"), F.explode_outer(told).alias("_told")).select(
+            "block", "_told.sort", F.lit("").alias("tie"), "_told.line").where(F.col("line").isNotNull())
+
     def f(pattern: str, *cols: str) -> Column:
         return F.format_string(pattern, *[F.col(c) if isinstance(c, str) else c for c in cols])
 
@@ -303,23 +311,25 @@ def report_lines(report: Report, title: str = "Recall Surveillance") -> DataFram
                f("- **Average risk score:** %.1f / 100", "avg_risk_score"),
                f("- **Critical/High risk recalls:** %d", F.col("critical_count") + F.col("high_count")), "",
                "## Key Insights", ""]
-    out += [said(has_data, 1, float(i), F.lit(m) if isinstance(m, str) else m) for i, m in enumerate(metrics)]
+    out.append(several(has_data, 1, [(float(i), m) for i, m in enumerate(metrics)]))
     out.append(report.insights.where(F.col("ord") > 0).select(
         F.lit(2).alias("block"), F.col("ord").cast("double").alias("sort"), F.lit("").alias("tie"),
         F.concat(F.lit("- "), "insight").alias("line")))
     for block, (heading, name, (sort, tie), top) in enumerate(_TABLES, start=3):
         section = report.sections[name]
         shown = section.limit(top) if top else section
-        shape = section.limit(1).select(F.lit(1)) if name in _HIDDEN_WHEN_EMPTY else has_data
         columns = section.columns
-        head = ["", heading, "", "| " + " | ".join(columns) + " |", "| " + " | ".join("---" for _ in columns) + " |"]
-        out += [said(shape, block, -1e18 + i * 1e15, F.lit(h)) for i, h in enumerate(head)]
+        filled = section.limit(1).agg(F.count(F.lit(1))).scalar() > 0
+        shape = has_data.where(filled) if name in _HIDDEN_WHEN_EMPTY else has_data
+        head = ["", heading, "", F.when(filled, "| " + " | ".join(columns) + " |").otherwise("_No data._"),
+                F.when(filled, "| " + " | ".join("---" for _ in columns) + " |")]
+        out.append(several(shape, block, [(-1e18 + i * 1e15, h) for i, h in enumerate(head)]))
         cells = [F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in columns]
         orders = {"tier_order": F.array_position(F.array(*[F.lit(t) for t, _ in R.TIERS]), F.col("risk_tier"))
                   if name == "risk_tier_distribution" else None,
                   "season_order": season_order(F.col("season")) if name == "seasonal_profile" else None}
         key = orders[sort] if sort in orders else -F.col(sort[1:])
-        out.append(shown.join(has_data.select(F.lit(True).alias("_show")), F.lit(True), "left_semi").select(
+        out.append(shown.where(any_data).select(
             F.lit(block).alias("block"), key.cast("double").alias("sort"),
             F.coalesce(F.col(tie), F.lit("")).alias("tie"),
             F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line")))
@@ -327,14 +337,12 @@ def report_lines(report: Report, title: str = "Recall Surveillance") -> DataFram
     trend = report.sections["trend_stats"].where(F.col("n_months") >= 3)
     sentence = f("- Over %d months, recalls are **%s** at %.2f recalls/month (mean = %.1f/month).", "n_months",
                  F.when(F.col("slope") > 0, "increasing").otherwise("decreasing"), F.abs("slope"), "mean")
-    out += [said(trend, after, float(i), c) for i, c in enumerate(
-        [F.lit(""), F.lit("## Temporal Trend"), F.lit(""), sentence])]
+    out.append(several(trend, after, [(float(i), c) for i, c in enumerate(["", "## Temporal Trend", "", sentence])]))
     tested = report.sections["reason_vs_severity_test"].where(F.col("p_value").isNotNull())
     findings = f("- **Reason vs Severity**: χ²=%s, p=%s (%s)", "statistic", "p_value", "interpretation")
-    out += [said(tested, after + 1, float(i), c) for i, c in enumerate(
-        [F.lit(""), F.lit("## Statistical Findings"), F.lit(""), findings])]
-    related = report.sections["reach_vs_risk_correlation"].where(F.col("r").isNotNull()).join(
-        tested.select(F.lit(True).alias("_show")), F.lit(True), "left_semi")
+    out.append(several(tested, after + 1, [(float(i), c) for i, c in enumerate(["", "## Statistical Findings", "", findings])]))
+    related = report.sections["reach_vs_risk_correlation"].where(
+        F.col("r").isNotNull() & (tested.agg(F.count(F.lit(1))).scalar() > 0))
     out.append(said(related, after + 1, 9.0, f("- **Distribution reach vs Risk score**: r=%s (n=%d)", "r", "n")))
     return reduce(DataFrame.unionByName, out).orderBy("block", "sort", "tie")
 
