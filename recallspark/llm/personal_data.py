@@ -207,5 +207,6 @@ def span_digest(spans: DataFrame) -> DataFrame:
     """Counts per kind of the plain spans, their hash, and all spans as text (kind:start:end, comma-joined)."""
     joined = lambda column: F.array_join(F.transform(column, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
     plain = F.filter("spans", lambda s: s.plain)
-    counts = [F.size(F.filter("spans", lambda s, kind=kind: s.plain & (s.kind == kind))).cast("long").alias(f"n_{kind}") for kind in KINDS]
+    of_kind = lambda kind: F.filter("spans", lambda s: s.plain & (s.kind == F.lit(kind)))
+    counts = [F.size(of_kind(kind)).cast("long").alias(f"n_{kind}") for kind in KINDS]
     return spans.select("doc_id", *counts, F.sha2(joined(plain), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
