@@ -119,14 +119,14 @@ def table_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     def td(c):
         return F.concat(F.lit("<td class='x'> "), c, F.lit(" </td>"))
 
-    row = F.concat(F.lit("<tr>"), td(F.date_format("report_date", "MM/dd/yyyy")),
+    row = F.concat(F.lit("<tr>"), td(F.coalesce(F.date_format("report_date", "MM/dd/yyyy"), F.lit("-"))),
                    td(F.concat(F.lit('<a href="/alert/'), "recall_number", F.lit('">'), "product_description", F.lit("</a>"))),
                    td(F.concat(F.lit("<b>"), F.coalesce("reason_for_recall", F.lit("")), F.lit("</b>"))),
                    td(F.coalesce("distribution_pattern", F.lit(""))), F.lit("</tr>"))
     html = F.concat(F.lit('<html><main><table class="views cols-4"><thead><tr><th>Date</th></tr></thead><tbody>'), row,
                     F.lit("</tbody></table></main></html>"))
-    view = _view(spark, sf_dir).where(F.col("report_date").isNotNull())
-    return view.select(*LINE, html.alias("html"))
+    other = F.replace(F.replace(html, F.lit('"'), F.lit("'")), F.lit("class='x'"), F.lit("class=x"))
+    return _view(spark, sf_dir).select(*LINE, F.when(F.col("l_linenumber") % 2 == 0, html).otherwise(other).alias("html"))
 
 
 def alert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,12 +162,12 @@ ALERT_LIST_SQL = f"""SELECT page_id, position::INTEGER AS position, {web_id("con
     unnest(range(len(regexp_extract_all(html, '{_LINK}')))) AS position FROM pages)"""
 
 ALERT_TABLE_SQL = on_recalls(f"""SELECT {LINES},
-  {web_id("concat(strftime(report_date, '%m/%d/%Y'), coalesce(distribution_pattern, ''), product_description)")} AS recall_number,
+  {web_id("concat(coalesce(strftime(report_date, '%m/%d/%Y'), '-'), coalesce(distribution_pattern, ''), product_description)")} AS recall_number,
   'fda_website' AS source, {type_case("lower(concat(reason_for_recall, ' ', product_description))")} AS product_type,
   coalesce(distribution_pattern, 'Unknown') AS recalling_firm,
   coalesce(nullif(reason_for_recall, ''), 'See FDA website for details') AS reason_for_recall, product_description,
   report_date, report_date AS recall_initiation_date, concat('/alert/', recall_number) AS detail_url
-  FROM recalls WHERE report_date IS NOT NULL""")
+  FROM recalls""")
 
 
 def web_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -388,7 +388,7 @@ ENTRIES = {
     "nrm5_normalize_alerts": (web_records, on_recalls(
         f"""SELECT {LINES}, 'fda_website' AS source, NULL::VARCHAR AS classification, 'Ongoing' AS status,
         'United States' AS country, coalesce(distribution_pattern, 'Unknown') AS recalling_firm, report_date, true AS markup_kept
-        FROM recalls WHERE report_date IS NOT NULL""")),
+        FROM recalls""")),
     "nrm6_dates": (record_dates, """
         SELECT o_orderkey, CASE WHEN o_orderkey % 8 IN (0, 1) THEN o_orderdate::DATE END AS record_date,
         CASE WHEN o_orderkey % 8 IN (2, 3, 4) THEN o_orderdate::DATE END AS page_date FROM orders"""),

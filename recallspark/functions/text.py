@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, functions as F
 
 from recallspark.functions import rules as R
@@ -86,7 +88,24 @@ def markup_text(c: Column) -> Column:
     removed, the common entities decoded."""
     bare = F.regexp_replace(c, r"(?s)<!--.*?-->", "")
     bare = F.regexp_replace(bare, rf"{_SPACE}*<[^>]*>{_SPACE}*", "")
-    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
-                         ("&#39;", "'"), ("&amp;", "&")):
-        bare = F.replace(bare, F.lit(entity), F.lit(char))
-    return strip(bare)
+    return strip(decode_entities(bare))
+
+
+def decode_entities(c: Column) -> Column:
+    """Named (HTML 4) and numeric character references; unknown ones stay as they are."""
+    names = F.create_map(*[F.lit(x) for name, code in sorted(name2codepoint.items()) for x in (name, chr(code))])
+
+    def char(code: Column) -> Column:
+        return F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
+
+    def value(ref: Column) -> Column:
+        number = F.lower(F.substring(ref, 2, 10))
+        return (F.when(number.rlike("^x[0-9a-f]{1,6}$") & ref.startswith("#"), char(F.substring(number, 2, 8)))
+                .when(number.rlike("^[0-9]{1,7}$") & ref.startswith("#"), char(F.hex(number.cast("int"))))
+                .otherwise(F.coalesce(F.try_element_at(names, ref), F.concat(F.lit("&"), ref, F.lit(";")))))
+
+    found = F.array_distinct(F.regexp_extract_all(c, F.lit("&(#[xX]?[0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"), F.lit(1)))
+    # the ampersand last, or "&amp;lt;" would be decoded twice
+    ordered = F.concat(F.filter(found, lambda r: value(r) != "&"), F.filter(found, lambda r: value(r) == "&"))
+    decoded = F.aggregate(ordered, c, lambda text, r: F.replace(text, F.concat(F.lit("&"), r, F.lit(";")), value(r)))
+    return F.replace(F.when(F.contains(c, F.lit("&")), decoded).otherwise(c), F.lit("\u00a0"), F.lit(" "))

@@ -13,22 +13,34 @@ from recallspark.functions import rules as R
 from recallspark.functions.dates import parse_page_date
 from recallspark.functions.text import blank_to_null, contains_any, markup_text
 
+def _attribute(name: str, value: str) -> str:
+    """An attribute with a value in double, single or no quotes; ``value`` is a pattern for some of it."""
+    return rf"""{name}\s*=\s*(?:"[^"]*{value}[^"]*"|'[^']*{value}[^']*'|[^\s"'>]*{value}[^\s"'>]*)"""
+
+
+def _classed(names: str) -> str:
+    return _attribute("class", rf"(?<![\w-])(?:{names})(?![\w-])")
+
+
 # fixed values: markup of the listing pages
-_TABLE4 = r'(?is)<table\b[^>]*class\s*=\s*"[^"]*\bcols-4\b[^"]*"[^>]*>.*?</table>'
+_TABLE4 = rf"(?is)<table\b[^>]*{_classed('cols-4')}[^>]*>.*?</table>"
 _MAIN = r"(?is)<main\b[^>]*>.*?</main>"
+_BODY = r"(?is)<tbody\b[^>]*>.*?</tbody>"
 _BODY_ROWS = r"(?is)<tr\b[^>]*>.*?</tr>"
 _CELL = r"(?is)<td\b[^>]*>(.*?)</td>"
-_LIST_AREA = r'(?is)class\s*=\s*"[^"]*\bview-content\b.*$'
-_LIST_ROW = r'(?is)<(?:div|li|tr|article)\b[^>]*class\s*=\s*"[^"]*\bviews-row\b[^"]*"[^>]*>'
-_HREF = r'(?is)href\s*=\s*"([^"]*)"'
-_TITLE = (r'(?is)(?:<h3\b[^>]*>|class\s*=\s*"[^"]*\b(?:views-field-title|field-content)\b[^"]*"[^>]*>)'
-          r".*?(<a\b[^>]*>.*?</a>)")
+_LIST_AREA = rf"(?is){_classed('view-content')}.*$"
+_LIST_ROW = rf"(?is)<(?:div|li|tr|article)\b[^>]*{_classed('views-row')}[^>]*>"
+# a list row is cut before every opening and behind every closing tag of the elements it can be
+_ROW_EDGE = r"(?i)(?=<(?:div|li|tr|article)\b)|(?<=</div>)|(?<=</li>)|(?<=</tr>)|(?<=</article>)"
+_ROW_OPEN, _ROW_CLOSE = r"(?i)^<(?:div|li|tr|article)\b", r"(?i)</(?:div|li|tr|article)>$"
+_HREF = r"""(?is)^<a\b[^>]*\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+_TITLE = rf"(?is)(?:<h3\b[^>]*>|{_classed('views-field-title|field-content')}[^>]*>).*?(<a\b[^>]*>.*?</a>)"
 _ANCHOR = r"(?is)(<a\b[^>]*>.*?</a>)"
 NO_COMPANY, NO_REASON = "Unknown", "See FDA website for details"
 
 
 def _field(classes: str) -> str:
-    return rf'(?is)<([a-z0-9]+)\b[^>]*class\s*=\s*"[^"]*\b(?:{classes})\b[^"]*"[^>]*>(.*?)</\1>'
+    return rf"(?is)<([a-z0-9]+)\b[^>]*{_classed(classes)}[^>]*>(.*?)</\1>"
 
 
 _DATE_FIELD = _field("views-field-created|date-display-single")
@@ -55,13 +67,31 @@ def pseudo_id(day_text: Column, company: Column, product: Column) -> Column:
     return F.concat(F.lit("WEB-"), F.substring(F.regexp_replace(joined, "[^a-zA-Z0-9]", ""), 1, 40))
 
 
+def _body_rows(area: Column) -> Column:
+    return _all(F.array_join(_all(area, _BODY), " "), _BODY_ROWS)
+
+
+def _own_markup(piece: Column) -> Column:
+    """A list row up to its closing tag (all of it, if tags are left open)."""
+    def step(held: Column, part: Column) -> Column:
+        depth = held["depth"] + part.rlike(_ROW_OPEN).cast("int") - part.rlike(_ROW_CLOSE).cast("int")
+        return F.when(held["depth"] <= 0, held).otherwise(F.struct(depth.alias("depth"), F.concat(held["text"], part).alias("text")))
+
+    start = F.struct(F.lit(1).alias("depth"), F.lit("").alias("text"))
+    return F.aggregate(F.split(piece, _ROW_EDGE), start, step, lambda held: held["text"])
+
+
+def _href(link: Column) -> Column:
+    return F.concat(*[_first(link, _HREF, group) for group in (1, 2, 3)])
+
+
 def alert_rows(pages: DataFrame, html: str = "html") -> DataFrame:
     """(page columns without html, position, row markup) of the layout the page uses."""
     page = F.col(html)
-    table_rows = F.filter(_all(F.array_join(_all(page, _TABLE4), " "), _BODY_ROWS), lambda r: ~r.rlike(r"(?is)<th\b"))
+    table_rows = _body_rows(F.array_join(_all(page, _TABLE4), " "))
     pieces = F.split(_first(page, _LIST_AREA, 0), _LIST_ROW)
-    list_rows = F.slice(pieces, F.lit(2), F.size(pieces))
-    main_rows = F.filter(_all(_first(page, _MAIN, 0), _BODY_ROWS), lambda r: ~r.rlike(r"(?is)<th\b"))
+    list_rows = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), _own_markup)
+    main_rows = _body_rows(_first(page, _MAIN, 0))
     rows = F.when(F.size(table_rows) > 0, table_rows).when(F.size(list_rows) > 0, list_rows).otherwise(main_rows)
     keep = [c for c in pages.columns if c != html]
     return pages.select(*keep, F.posexplode(rows).alias("position", "row_html"))
@@ -87,7 +117,7 @@ def parse_alerts(pages: DataFrame, html: str = "html") -> DataFrame:
         F.when(is_table, cell(1)).otherwise(title).alias("_product"),
         F.when(is_table, cell(2)).otherwise(title).alias("_reason"),
         F.when(is_table, cell(3)).otherwise(F.coalesce(markup_text(company_mark), F.lit(NO_COMPANY))).alias("_company"),
-        F.when(is_table, blank_to_null(_first(link, _HREF))).otherwise(_first(link, _HREF)).alias("detail_url"))
+        F.when(is_table, blank_to_null(_href(link))).otherwise(_href(link)).alias("detail_url"))
     day = parse_page_date(F.col("_day"))
     filled = F.col("_table")
     return parts.select(

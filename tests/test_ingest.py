@@ -342,3 +342,13 @@ def test_dates_in_other_spellings_and_broken_pages(spark, tmp_path):
     assert [tuple(r.errors) for r in held] == [("corrupt_page",)] and held[0].file.endswith("p1.json") and held[0].run_id == row["run_id"]
     lost = landing.undatable(landing.explode_records(read_pages(spark, str(tmp_path), "Drugs"))).collect()
     assert [(r.product_type, r.records) for r in lost] == [("Drugs", 1)]
+
+
+def test_pages_with_other_quoting_and_a_footer(spark):
+    cells = "<td>March 5, 2026</td><td><a href=/d>Nut bar</a></td><td>Don&#8217;t eat &eacute;clairs &#x26;lt; &amp;gt; &nosuch;</td><td>Acme</td>"
+    table = f"<table class='views cols-4'><thead><tr><th>Date</th></tr></thead><tbody><tr><th>x</th>{cells}</tr></tbody></table>"
+    listed = ("<div class=view-content><div class='item views-row'><div><h3><a href='/a'>Pump</a></h3></div></div>"
+              "<div class=views-row><p>no link</p></div></div><footer><h3><a href='/p'>Privacy</a></h3></footer>")
+    got = {(r.page_id, r.product_description, r.detail_url, r.reason_for_recall) for r in parse_alerts(
+        spark.createDataFrame([(1, table), (2, listed)], "page_id int, html string")).collect()}
+    assert got == {(1, "Nut bar", "/d", "Don\u2019t eat \u00e9clairs &lt; &gt; &nosuch;"), (2, "Pump", "/a", "Pump")}
