@@ -215,9 +215,8 @@ def device_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Normalised API records without the numbers that stand where text should be."""
-    records = normalized(spark, sf_dir).withColumn("type_errors", F.array_remove("type_errors", "voluntary_mandated"))
-    return validate(records, AS_OF)
+    """Normalised API records; the first line of an order has a number where text should be."""
+    return validate(normalized(spark, sf_dir), AS_OF)
 
 
 def val_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,8 +234,9 @@ VALIDATED_SQL = f"""SELECT {LINES}, recall_number, nullif(classification, '') AS
     CASE WHEN coalesce(distribution_pattern, '') = '' THEN 'Missing distribution_pattern' END,
     CASE WHEN coalesce(classification, '') = '' THEN 'Missing classification' END,
     CASE WHEN report_date IS NULL AND recall_initiation_date IS NULL THEN 'No date fields present' END) AS warnings,
-  CASE WHEN reason_for_recall = '' THEN 'required:reason_for_recall' ELSE '' END AS errors,
-  reason_for_recall <> '' AS is_validated FROM norm"""
+  concat_ws('|', CASE WHEN reason_for_recall = '' THEN 'required:reason_for_recall' END,
+    CASE WHEN l_linenumber = 1 THEN 'type:voluntary_mandated' END) AS errors,
+  reason_for_recall <> '' AND l_linenumber <> 1 AS is_validated FROM norm"""
 
 
 def on_normalized(sql: str) -> str:
@@ -329,7 +329,8 @@ def run_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def counts_after_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid rows of the batch that the de-duplication skips, per product type."""
-    valid = checkpoint(valid_rows(validated(spark, sf_dir)).select("recall_number", "product_type", "source", "report_date", "ingest_ord"))
+    valid = valid_rows(validated(spark, sf_dir)).select("recall_number", "product_type", "source", "report_date", "ingest_ord")
+    valid = checkpoint(valid)
     kept = dedupe_one_source(valid).groupBy("product_type").agg(F.count("*").alias("kept"))
     return (valid.groupBy("product_type").agg(F.count("*").alias("valid")).join(kept, "product_type")
             .withColumn("records_skipped", F.col("valid") - F.col("kept")))
@@ -416,7 +417,7 @@ ENTRIES = {
         f"SELECT {KEY} FROM {one_source_sql('recalls')}")),
     "ded3_skipped": (counts_after_dedupe, on_normalized(
         f""", ok AS (SELECT * REPLACE (CASE WHEN report_date <= DATE '{AS_OF}' THEN report_date END AS report_date)
-            FROM norm WHERE reason_for_recall <> '')
+            FROM norm WHERE reason_for_recall <> '' AND l_linenumber <> 1)
         SELECT *, valid - kept AS records_skipped FROM (SELECT product_type, count(*) AS valid FROM ok GROUP BY 1)
         JOIN (SELECT product_type, count(*) AS kept FROM {one_source_sql('ok')} GROUP BY 1) USING (product_type)""")),
     "ing1_merge_recalls": (merged, on_recalls(
