@@ -8,7 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that a task holds in decoded form at once (one longer text is a piece by itself).
-PIECE_BYTES = 2_000_000
+PIECE_BYTES = 1_000_000
 
 
 def pieces(batches: Iterator[pa.RecordBatch], text_col: str = "text", limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:

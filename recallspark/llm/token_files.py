@@ -27,7 +27,7 @@ from recallspark.session import scratch_dir
 SEGMENT = ("shard int, segment int, first_id long, n_ids long, doc_ids array<bigint>, doc_tokens array<bigint>, "
            "offsets binary, words binary, escaped binary")
 #: Words in each of the two generations of words whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 700_000
 _RUN = re.compile(r"[^ \t\n\x0b\x0c\r]+")
 
 
@@ -73,7 +73,8 @@ class WordEncoder:
         self.known.update((w, self.known[a] + self.known[b]) for w, (a, b) in parts.items())
 
     def encode(self, batch: list[str]) -> list[np.ndarray]:
-        runs = [_RUN.findall(t) for t in batch]
+        # the tokenizer folds case; special tokens are matched before that
+        runs = [_RUN.findall(t.lower() if t.isascii() and "<|" not in t else t) for t in batch]
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
         self._learn(set().union(*runs).difference(self.known))
