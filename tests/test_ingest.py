@@ -352,3 +352,15 @@ def test_pages_with_other_quoting_and_a_footer(spark):
     got = {(r.page_id, r.product_description, r.detail_url, r.reason_for_recall) for r in parse_alerts(
         spark.createDataFrame([(1, table), (2, listed)], "page_id int, html string")).collect()}
     assert got == {(1, "Nut bar", "/d", "Don\u2019t eat \u00e9clairs &lt; &gt; &nosuch;"), (2, "Pump", "/a", "Pump")}
+
+
+def test_backfill_parses_landing_once(spark, tmp_path, monkeypatch):
+    from recallspark.plans import ingest
+    land(tmp_path, "Drugs", "p0.json", [{**DRUG, "recall_number": f"D-{m}-{i}", "report_date": f"2025{m:02d}{10 + i}"} for m in (1, 2, 5) for i in range(3)])
+    land(tmp_path, "Drugs", "p1.json", [{**DRUG, "recall_number": "D-1-0", "report_date": "20250511", "status": "Terminated"}])
+    job, firms = RecallIngest(spark, str(tmp_path), str(tmp_path / "store")), []
+    monkeypatch.setattr(ingest, "rebuild_firms", lambda recalls: firms.append(1) or rebuild_firms(recalls))
+    assert job.run_backfill(date(2025, 6, 1), 2025, 2025, ["Drugs"]) == 10 and firms == [1]
+    stored = {r.recall_number: r.status for r in read_table(spark, job.recalls_path).collect()}
+    assert len(stored) == 9 and stored["D-1-0"] == "Terminated"
+    assert read_table(spark, f"{tmp_path}/store/firms", FIRMS).first().total_recalls == 9
