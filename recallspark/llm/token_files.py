@@ -12,6 +12,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from string import punctuation
 from unicodedata import is_normalized
 
 import numpy as np
@@ -48,16 +49,26 @@ class WordEncoder:
         self.older: dict[str, bytes] = {}
 
     def _learn(self, words: set[str]) -> None:
-        """Remember the ids of new words. ASCII letters are looked up in lower case, without what stands behind them."""
-        parts = {w: (w[:-1], w[-1]) for w in words if len(w) > 1 and w[-1] in ".," and w[:-1].isascii() and w[:-1].isalpha()}
-        low = {w: w.lower() for w in words if w.isascii() and w.isalpha()}
-        low.update((a, a.lower()) for a, _ in parts.values())
-        whole = words.difference(parts, low).union(low.values(), ".,").difference(self.known)
-        again = whole.intersection(self.older)
+        """Remember the ids of new words: letters with punctuation behind them as two parts, ASCII letters in lower case."""
+        parts, wanted = [], set()
+        for w in words:
+            body = w.rstrip(punctuation)
+            tail = w[len(body):]
+            if body.isalpha():
+                plain = body.lower() if body.isascii() else body
+                wanted.add(plain)
+                if tail:
+                    wanted.add(tail)
+                if plain != w:
+                    parts.append((w, plain, tail))
+            else:
+                wanted.add(w)
+        wanted.difference_update(self.known)
+        again = wanted.intersection(self.older)
         self.known.update((w, self.older[w]) for w in again)
         single, other = [], []
-        for w in whole.difference(again):
-            (single if w.lower().isalpha() and is_normalized("NFC", w) else other).append(w)
+        for w in wanted.difference(again):
+            (single if w.isalpha() and (w.isascii() or w.lower().isalpha() and is_normalized("NFC", w)) else other).append(w)
         # a word of letters alone is one token run, whose last token is a word end: many go through together
         for start in range(0, len(single), 1000):
             some = single[start:start + 1000]
@@ -66,11 +77,12 @@ class WordEncoder:
             if len(ends) != len(some):
                 other.extend(some)
                 continue
-            self.known.update((w, i.tobytes()) for w, i in zip(some, np.split(ids, ends[:-1])))
+            data, cuts = ids.tobytes(), (4 * ends).tolist()
+            self.known.update((w, data[x:y]) for w, x, y in zip(some, [0, *cuts], cuts))
         for word, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
             self.known[word] = np.array(found.ids, dtype="<u4").tobytes()
-        self.known.update((w, self.known[x]) for w, x in low.items())
-        self.known.update((w, self.known[a] + self.known[b]) for w, (a, b) in parts.items())
+        known = self.known
+        known.update([(w, known[body] + known[tail] if tail else known[body]) for w, body, tail in parts])
 
     def encode(self, batch: list[str]) -> list[np.ndarray]:
         # the tokenizer folds case; special tokens are matched before that
