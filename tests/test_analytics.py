@@ -194,3 +194,16 @@ def test_empty_report(recalls):
     assert [r.insight for r in report.insights.collect()] == ["No recall data available."]
     text = [r.line for r in report_lines(report).collect()]
     assert "No recall data available." in text and "## Summary Metrics" not in text
+
+
+def test_report_without_firms_and_numbers(recalls):
+    bare = recalls.withColumn("recalling_firm", F.lit(None).cast("string")).withColumn("manufacturer_name", F.lit(None).cast("string"))
+    half = bare.withColumn("recall_number", F.when(F.col("product_type") == "Drugs", F.col("recall_number")))
+    report = build_report(half, date(2025, 1, 1), firm_column="recalling_firm")
+    lines = [r.line for r in report_lines(report).collect()]
+    start = lines.index("## Top Manufacturers by Priority Score")
+    assert lines[start + 1:start + 3] == ["", "_No data._"]
+    total = report.summary.first().total_recalls
+    top = report.sections["by_classification"].first()
+    said = next(r.insight for r in report.insights.collect() if f"{top.total_recalls:,}" in r.insight)
+    assert f"{top.total_recalls / total * 100:.0f}% of total" in said
