@@ -3,9 +3,9 @@
 Sets that are equal are one class. Two sets that link share a shingle among the first n - ceil(0.75 n) + 1
 of each in any common order (prefix filter); frequent shingles come last in the order, so that passages
 many documents share seldom lead to candidates. The classes that share such a shingle form its list.
-Short lists give their pairs; long lists first link every class with the first one of the list, and what
-that leaves in different components is compared in tiles: blocks of bounded size of the same or
-neighbouring size bands. Pairs whose bitmaps rule out enough overlap are dropped by bit counts, the
+Short lists give their pairs; in long lists every class is first compared with a few pivots of its size
+band and of the next, and what that leaves in different components is compared in tiles: blocks of
+bounded size of the same or neighbouring size bands. Pairs whose bitmaps rule out enough overlap are dropped by bit counts, the
 others are intersected exactly. No link between different sets is lost.
 """
 
@@ -15,7 +15,6 @@ from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,12 +26,12 @@ from recallspark.llm.word_sets import shingle_sets
 
 #: Two sets link when PERCENT is at most their intersection over their union; words of a shingle.
 PERCENT, WIDTH = 75, 5
-#: Shingles that the order puts last: the most frequent ones, at most so many (one megabyte in all).
-FREQUENT = 65_536
+#: Shingles that the order puts last: the most frequent ones, at most so many (eight megabytes in all).
+FREQUENT = 500_000
 #: Members up to which a list gives all its pairs; members of a block of a tile.
 SHORT_LIST, BLOCK = 8, 512
-#: Bits of a bitmap: a power of two over twice the set's size, within these bounds.
-MIN_BITS, MAX_BITS = 256, 16_384
+#: Bits of a bitmap: a power of two over four times the set's size, within these bounds.
+MIN_BITS, MAX_BITS = 256, 32_768
 #: Ids that may be broadcast (8 bytes each); beyond, the rows are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -43,7 +42,7 @@ def prefix_size(n: int, percent: int = PERCENT) -> int:
 
 def bitmap(shingles: np.ndarray) -> bytes:
     bits = MIN_BITS
-    while bits < 2 * len(shingles) and bits < MAX_BITS:
+    while bits < 4 * len(shingles) and bits < MAX_BITS:
         bits *= 2
     marked = np.zeros(bits, dtype=np.uint8)
     marked[(shingles & np.uint64(bits - 1)).astype(np.int64)] = 1
@@ -75,13 +74,13 @@ def _survey(docs: DataFrame) -> DataFrame:
     """Per document its set's size, key and bitmap; besides, shingles frequent within a task with their counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in pieces(batches, limit=20_000_000):
+        for batch in pieces(batches, limit=6_000_000):
             sets = [s for piece in pieces(iter([batch])) for s in shingle_sets(texts(piece))]
             keys = [_key(s) for s in sets]
             new = {k: s for k, s in zip(keys, sets) if k not in seen and len(s)}
             seen.update(new)
             values, counts = np.unique(np.concatenate(list(new.values())), return_counts=True) if new else (np.zeros(0, np.uint64),) * 2
-            often = counts >= 3
+            often = counts >= 2
             n, m = len(sets), int(often.sum())
             none = [None] * m
             yield pa.RecordBatch.from_arrays(
@@ -126,11 +125,21 @@ def _postings(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
     return docs.mapInArrow(run, "shingle long, key long, n long")
 
 
+def pivot_pairs(sizes: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
+    """Pairs (smaller, larger) of a list sorted by size: each with its band's first, middle and last, and the next band's first."""
+    low = 0
+    while low < len(sizes):
+        high = int(np.searchsorted(sizes, sizes[low] * 100 // percent, side="right"))
+        for pivot in {low, (low + high) // 2, high - 1, min(high, len(sizes) - 1)}:
+            yield from ((min(i, pivot), max(i, pivot)) for i in range(low, high) if i != pivot)
+        low = high
+
+
 def _candidates(postings: DataFrame, percent: int) -> DataFrame:
-    """``a, n_a, b, n_b, list``: pairs of short lists (list null); members of long lists, each with the list's first as b."""
+    """``a, n_a, b, n_b, list``: pairs to compare (list null), and the members of long lists (as a; b null)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = np.zeros((3, 0), dtype=np.int64)  # rows of the last list so far
-        open_list: tuple[int, int, int] | None = None  # a long list that goes on: shingle, first key, its size
+        open_list: int | None = None  # the shingle of a long list that goes on
         told: set[tuple[int, int]] = set()
 
         def work(rows: np.ndarray, last: bool) -> tuple[np.ndarray, list]:
@@ -145,26 +154,26 @@ def _candidates(postings: DataFrame, percent: int) -> DataFrame:
             if not last and len(starts) and counts[-1] <= 100_000:
                 end, starts, counts = starts[-1], starts[:-1], counts[:-1]
             many = counts >= 2
-            if open_list and len(starts) and shingle[0] == open_list[0]:
+            if open_list is not None and len(starts) and shingle[0] == open_list:
                 many[0] = True
             for s, c in zip(starts[many].tolist(), counts[many].tolist()):
-                going_on = open_list if open_list and open_list[0] == shingle[s] else None
-                if c <= SHORT_LIST and not going_on:
-                    ks, ns = key[s:s + c].tolist(), n[s:s + c].tolist()
-                    for i in range(c):
-                        for j in range(i + 1, c):
-                            if 100 * ns[i] < percent * ns[j]:
-                                break
-                            pair = (ks[i], ks[j]) if ks[i] < ks[j] else (ks[j], ks[i])
-                            if pair not in told:
-                                told.add(pair)
-                                out.append((pair[0], ns[i] if pair[0] == ks[i] else ns[j], pair[1], ns[j] if pair[0] == ks[i] else ns[i], None))
-                    if len(told) > 200_000:
-                        told.clear()
+                ks, ns = key[s:s + c], n[s:s + c]
+                if c <= SHORT_LIST and open_list != shingle[s]:
+                    pairs = [(i, j) for i in range(c) for j in range(i + 1, c)]
                 else:
-                    first = going_on or (int(shingle[s]), int(key[s]), int(n[s]))
-                    open_list = first
-                    out += [(k, m, first[1], first[2], first[0]) for k, m in zip(key[s:s + c].tolist(), n[s:s + c].tolist())]
+                    open_list = int(shingle[s])
+                    out += [(k, m, None, None, open_list) for k, m in zip(ks.tolist(), ns.tolist())]
+                    pairs = pivot_pairs(ns, percent)
+                ks, ns = ks.tolist(), ns.tolist()
+                for i, j in pairs:
+                    if 100 * ns[i] >= percent * ns[j] and ks[i] != ks[j]:
+                        i, j = (i, j) if ks[i] < ks[j] else (j, i)
+                        pair = (ks[i], ks[j])
+                        if pair not in told:
+                            told.add(pair)
+                            out.append((ks[i], ns[i], ks[j], ns[j], None))
+                if len(told) > 200_000:
+                    told.clear()
             return np.stack([x[end:] for x in (shingle, key, n)]), out
 
         def table(out: list) -> pa.RecordBatch:
@@ -230,7 +239,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, sets: DataFrame, percent: int, br
 
 def _tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Possible pairs ``a, b`` of different components within long lists ``list, key, component``."""
-    member = members.join(sets.select("key", "n", "bitmap"), "key").withColumn(
+    member = members.join(sets.select("key", "n"), "key").withColumn(
         "band", F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent))).cast("int"))
     blocks = member.groupBy("list", "band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     above = blocks.select("list", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above"))
@@ -245,21 +254,62 @@ def _tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         F.transform(every(F.col("above")), lambda x: tile(own, block, 1, x)),
         F.transform(every(F.col("below")), lambda x: tile(own - 1, x, 1, block)))
 
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        n, key, component = (rows[c].to_numpy() for c in ("n", "key", "component"))
-        maps, found = folded(list(rows["bitmap"])), []
-        for i in range(len(rows) - 1):
-            rest = np.flatnonzero((component[i + 1:] != component[i])) + i + 1
-            if len(rest):
-                fits = links(overlap_bound(maps[i], maps[rest], n[i], n[rest]), n[i], n[rest], percent)
-                found += [(min(key[i], key[j]), max(key[i], key[j])) for j in rest[fits]]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-    spread = placed.select("list", "key", "n", "bitmap", "component", F.explode_outer(where).alias("tile"))
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told: set[tuple[int, int]] = set()
+        kept: pa.Table | None = None
+
+        def groups(rows: pa.Table, last: bool) -> Iterator[tuple[int, int]]:
+            which = rows.column("number").to_numpy()
+            starts = np.flatnonzero(np.concatenate(([True], which[1:] != which[:-1]))).tolist() if len(which) else []
+            yield from zip(starts, [*starts[1:], len(which)] if last else starts[1:])
+
+        def pairs(rows: pa.Table, last: bool) -> tuple[list[tuple[int, int]], int]:
+            key, n, component = (rows.column(c).to_numpy() for c in ("key", "n", "component"))
+            bitmaps, found, end = rows.column("bitmap"), [], 0
+            for start, end in groups(rows, last):
+                maps = folded([x.as_buffer() for c in bitmaps.slice(start, end - start).chunks for x in c])
+                sizes, owner = n[start:end], component[start:end]
+                step = max(1, 200_000 // max(1, maps.size))
+                for i in range(0, len(sizes), step):  # some rows against all behind them
+                    one, other = np.nonzero(np.triu(owner[i:i + step, None] != owner[None, :], i + 1))
+                    one += i
+                    likely = 100 * np.minimum(sizes[one], sizes[other]) >= percent * np.maximum(sizes[one], sizes[other])
+                    one, other = one[likely], other[likely]
+                    for p in range(0, len(one), 4096):
+                        x, y = one[p:p + 4096], other[p:p + 4096]
+                        fits = links(overlap_bound(maps[x], maps[y], sizes[x], sizes[y]), sizes[x], sizes[y], percent)
+                        for u, v in zip(key[start + x[fits]].tolist(), key[start + y[fits]].tolist()):
+                            pair = (u, v) if u < v else (v, u)
+                            if pair not in told:
+                                told.add(pair)
+                                found.append(pair)
+                if len(told) > 200_000:
+                    told.clear()
+            return found, end
+
+        def table(found: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
+
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            kept = rows if kept is None else pa.concat_tables([kept, rows])
+            found, end = pairs(kept, False)
+            kept = kept.slice(end)
+            if found:
+                yield table(found)
+        found = pairs(kept, True)[0] if kept is not None else []
+        if found:
+            yield table(found)
+
+    spread = stored(placed.select("list", "key", "n", "component", F.explode_outer(where).alias("tile")))
     # a tile whose rows are all of one component has nothing to compare
     mixed = (spread.groupBy("list", "tile").agg(F.min("component").alias("low"), F.max("component").alias("high"))
              .filter("low < high").select("list", "tile"))
-    return (spread.join(mixed, ["list", "tile"]).groupBy("list", "tile").applyInPandas(compare, "a long, b long").distinct())
+    # a tile's rows come one after the other; tiles of the same number by chance are compared as one
+    named = spread.join(mixed, ["list", "tile"]).select(F.xxhash64("list", "tile").alias("number"), "key", "n", "component")
+    whole = stored(named).join(sets.select("key", "bitmap"), "key")
+    sorted_rows = whole.select("number", "key", "n", "component", "bitmap").repartition("number").sortWithinPartitions("number", "key")
+    return sorted_rows.mapInArrow(compare, "a long, b long").distinct()
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
@@ -279,15 +329,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     found = survey.filter("shingle IS NULL")
     sets = stored(found.filter("n > 0").groupBy("key", "n").agg(F.min("doc_id").alias("class_id"), F.first("bitmap").alias("bitmap")))
     frequent = (survey.filter("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("times").alias("times"))
-                .orderBy(F.desc("times"), "shingle").limit(FREQUENT).collect())
-    last = np.array([r.shingle for r in reversed(frequent)], dtype=np.int64).view(np.uint64)
+                .orderBy(F.desc("times"), "shingle").limit(FREQUENT).select("shingle").toPandas())
+    last = frequent["shingle"].to_numpy(dtype=np.int64)[::-1].copy().view(np.uint64)
     candidates = stored(_candidates(_postings(rows, last, percent), percent))
-    near = (F.col("a") != F.col("b")) & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    pairs = candidates.filter(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = candidates.filter("list IS NULL").select("a", "b").distinct()
     first = stored(_linked(stored(_possible(pairs, sets, percent)), rows, sets, percent, broadcast_rows))
     labels = components(first)
-    members = (candidates.filter("list IS NOT NULL").select("list", F.col("a").alias("key"))
-               .join(labels.withColumnRenamed("id", "key"), "key", "left")
+    members = candidates.filter("list IS NOT NULL").select("list", F.col("a").alias("key"))
+    # of lists with the same members one is enough
+    alike = (members.groupBy("list").agg(F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("key").cast("decimal(20,0)")).alias("sum"),
+                                         F.bit_xor(F.xxhash64("key", F.lit(1))).alias("mark"))
+             .groupBy("size", "sum", "mark").agg(F.min("list").alias("list")))
+    members = (members.join(alike.select("list"), "list", "left_semi").join(labels.withColumnRenamed("id", "key"), "key", "left")
                .select("list", "key", F.coalesce("label", "key").alias("component")))
     second = _linked(stored(_tiles(stored(members), sets, percent)), rows, sets, percent, broadcast_rows)
     edges = stored(first.unionByName(second).distinct())
