@@ -46,13 +46,16 @@ def bitmap(shingles: np.ndarray) -> bytes:
         bits *= 2
     marked = np.zeros(bits, dtype=np.uint8)
     marked[(shingles & np.uint64(bits - 1)).astype(np.int64)] = 1
-    return np.packbits(marked, bitorder="little").tobytes()
+    whole = np.packbits(marked, bitorder="little").tobytes()
+    return len(whole).to_bytes(4, "little") + pa.compress(whole, codec="zstd", asbytes=True)
 
 
 def folded(bitmaps: list[bytes]) -> np.ndarray:
-    """The bitmaps as rows of words, all folded to the narrowest width among them."""
-    width = min(map(len, bitmaps))
-    return np.stack([np.bitwise_or.reduce(np.frombuffer(b, np.uint64).reshape(-1, width // 8), axis=0) for b in bitmaps])
+    """The (compressed) bitmaps as rows of words, all folded to the narrowest width among them."""
+    widths = [int.from_bytes(b[:4], "little") for b in bitmaps]
+    words = min(widths) // 8
+    return np.stack([np.bitwise_or.reduce(np.frombuffer(pa.decompress(b[4:], decompressed_size=w, codec="zstd"), np.uint64).reshape(-1, words), axis=0)
+                     for b, w in zip(bitmaps, widths)])
 
 
 def overlap_bound(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
@@ -267,7 +270,7 @@ def _tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             key, n, component = (rows.column(c).to_numpy() for c in ("key", "n", "component"))
             bitmaps, found, end = rows.column("bitmap"), [], 0
             for start, end in groups(rows, last):
-                maps = folded([x.as_buffer() for c in bitmaps.slice(start, end - start).chunks for x in c])
+                maps = folded(bitmaps.slice(start, end - start).to_pylist())
                 sizes, owner = n[start:end], component[start:end]
                 step = max(1, 200_000 // max(1, maps.size))
                 for i in range(0, len(sizes), step):  # some rows against all behind them
@@ -303,12 +306,15 @@ def _tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     spread = stored(placed.select("list", "key", "n", "component", F.explode_outer(where).alias("tile")))
     # a tile whose rows are all of one component has nothing to compare
-    mixed = (spread.groupBy("list", "tile").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-             .filter("low < high").select("list", "tile"))
-    # a tile's rows come one after the other; tiles of the same number by chance are compared as one
-    named = spread.join(mixed, ["list", "tile"]).select(F.xxhash64("list", "tile").alias("number"), "key", "n", "component")
+    mixed = (spread.groupBy("list", "tile").agg(F.min("component").alias("low"), F.max("component").alias("high"),
+                                                F.min("key").alias("anchor"))
+             .filter("low < high").select("list", "tile", "anchor"))
+    # A tile's rows come one after the other (tiles of the same number by chance are compared as one).
+    # Tiles with the same smallest key, which share many pairs, meet in one task that tells a pair once.
+    named = spread.join(mixed, ["list", "tile"]).select("anchor", F.xxhash64("list", "tile").alias("number"), "key", "n", "component")
     whole = stored(named).join(sets.select("key", "bitmap"), "key")
-    sorted_rows = whole.select("number", "key", "n", "component", "bitmap").repartition("number").sortWithinPartitions("number", "key")
+    sorted_rows = (whole.select("anchor", "number", "key", "n", "component", "bitmap")
+                   .repartition("anchor").sortWithinPartitions("anchor", "number", "key"))
     return sorted_rows.mapInArrow(compare, "a long, b long").distinct()
 
 
