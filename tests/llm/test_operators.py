@@ -167,6 +167,39 @@ def test_toxicity_separates_held_out_texts(spark):
     assert right >= 0.97 * len(held) and len(model[0]) < 500 and all(0 <= r.score <= 1 for r in held)
 
 
+@pytest.mark.parametrize("shard_rows", [5_000, 1_200])
+def test_toxicity_equals_ftrl_over_all_features(spark, monkeypatch, shard_rows):
+    """A marker in a handful of rows is learned; no feature is left out but by L1."""
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", shard_rows)
+    rng, rows = np.random.default_rng(2), []
+    for i in range(3_500):
+        words = rng.choice([f"w{k}" for k in range(300)], 6).tolist()
+        toxic = int(i % 9 == 0)
+        rare = i in (9, 909, 1809) if shard_rows == 5_000 else i % 360 == 9
+        rows.append((i, " ".join(words + ["vile"] * (i % 90 == 0) + ["rare"] * rare), toxic))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    shards = -(-len(rows) // shard_rows)
+    of = {r.doc_id: r.s for r in docs.selectExpr("doc_id", f"cast(pmod(xxhash64(doc_id), {shards}) as int) AS s").collect()}
+    number, examples = {}, collections.defaultdict(list)
+    for i, text, toxic in rows:
+        buckets = [*np.unique(toxicity.features([text])[1]).tolist(), "bias"]
+        examples[of[i]].append((np.array([number.setdefault(b, len(number)) for b in buckets]), toxic))
+    z, n = np.zeros(len(number)), np.zeros(len(number))
+    for _ in range(toxicity.ROUNDS):
+        moved = []
+        for part in examples.values():
+            own = z.copy(), n.copy()
+            toxicity.ftrl([e for e, _ in part], [t for _, t in part], *own)
+            moved.append((own[0] - z, own[1] - n))
+        z, n = z + sum(m[0] for m in moved) / shards, n + sum(m[1] for m in moved) / shards
+    value = toxicity.weights(z, n)
+    known, got, bias = toxicity.train(docs.drop("toxic"), docs.select("doc_id", "toxic"))
+    expected = {b: value[i] for b, i in number.items() if value[i]}
+    assert bias == pytest.approx(expected.pop("bias"), abs=1e-9)
+    assert dict(zip(known.tolist(), got.tolist())) == pytest.approx(expected, abs=1e-9)
+    assert toxicity.features(["rare"])[1][0] in known and np.all(np.diff(known) > 0)
+
+
 def test_toxicity_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (None, 1), (9, None)], "doc_id long, toxic int")
     got = toxicity.score(odd, toxicity.train(odd, labels)).collect()
