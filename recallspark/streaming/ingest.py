@@ -2,7 +2,8 @@
 
 State lives in the stored table and in the stream's checkpoint folder; each micro-batch is
 normalised, validated, de-duplicated and upserted. An upsert of the same batch gives the same
-table, so a batch repeated after a failure does no harm.
+table, so a batch repeated after a failure does no harm. What fails goes to a quarantine folder of
+the batch beside the checkpoint, which a repeat overwrites.
 """
 
 from __future__ import annotations
@@ -10,46 +11,73 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from recallspark.operators.dedupe import dedupe
 from recallspark.operators.normalize import normalize
-from recallspark.operators.validate import valid_rows, validate
-from recallspark.sources.landing import PAGE_TEXT, explode_records, page_columns
-from recallspark.sources.store import drop_folder, upsert_recalls
+from recallspark.operators.validate import quarantine, valid_rows, validate
+from recallspark.sources.landing import PAGE_TEXT, corrupt_pages, explode_records, page_columns
+from recallspark.sources.store import drop_folder, upsert_recalls, write_table
 
 
-def landing_stream(spark: SparkSession, landing: str, files_per_batch: int = 1000) -> DataFrame:
-    """Raw records of page files as they arrive."""
+def page_stream(spark: SparkSession, landing: str, files_per_batch: int = 1000) -> DataFrame:
+    """Page files as they arrive, broken ones too."""
     text = (spark.readStream.schema(PAGE_TEXT).format("text").option("wholetext", True)
             .option("maxFilesPerTrigger", files_per_batch).load(f"{landing}/*"))
-    return explode_records(page_columns(text))
+    return page_columns(text)
+
+
+def landing_stream(spark: SparkSession, landing: str, files_per_batch: int = 1000) -> DataFrame:
+    """Raw records of page files as they arrive."""
+    return explode_records(page_stream(spark, landing, files_per_batch))
+
+
+def quarantine_folder(checkpoint: str) -> str:
+    """(file, recall_number, errors, raw_json, batch_id) of what failed, by batch; batch ids count per
+    checkpoint, so each has a folder of its own. Not there before something failed."""
+    return f"{checkpoint.rstrip('/')}-quarantine"
 
 
 def upsert_stream(records: DataFrame, table_path: str, checkpoint: str,
                   prepare: Callable[[DataFrame], DataFrame], as_of: date, now: datetime | None = None,
-                  on_batch: Callable[[int, int, int], None] | None = None) -> StreamingQuery:
+                  on_batch: Callable[[int, int, int], None] | None = None,
+                  broken: Callable[[DataFrame], DataFrame] | None = None,
+                  on_failed: Callable[[int, int], None] | None = None) -> StreamingQuery:
     """Run until the files present at the start are in the table, then stop. ``prepare`` turns a
-    micro-batch into record columns with ``ingest_ord``; ``on_batch`` receives (batch id,
-    inserted, updated)."""
+    micro-batch into record columns with ``ingest_ord``, ``broken`` into quarantine rows of what
+    gives no record; ``on_batch`` receives (batch id, inserted, updated), ``on_failed`` (batch id,
+    failed rows and broken pages)."""
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         staged = f"{checkpoint.rstrip('/')}-staged/{batch_id}"
         validate(prepare(batch), as_of).write.mode("overwrite").parquet(f"{staged}/validated")
-        winners = dedupe(valid_rows(spark.read.parquet(f"{staged}/validated")))
+        validated = spark.read.parquet(f"{staged}/validated")
+        failed = quarantine(validated).select(F.lit(None).cast("string").alias("file"), "recall_number", "errors", "raw_json")
+        if broken is not None:
+            write_table(broken(batch), f"{staged}/broken", "overwrite")
+            failed = failed.unionByName(spark.read.parquet(f"{staged}/broken"))
+        n_failed, kept = failed.count(), f"{quarantine_folder(checkpoint)}/batch_id={batch_id}"
+        if n_failed:
+            write_table(failed, kept, "overwrite")
+        else:
+            drop_folder(spark, kept)
+        winners = dedupe(valid_rows(validated))
         winners.write.mode("overwrite").parquet(f"{staged}/batch")
         counts = upsert_recalls(spark, table_path, spark.read.parquet(f"{staged}/batch"), now or datetime.now(timezone.utc).replace(tzinfo=None))
         drop_folder(spark, staged)
         if on_batch:
             on_batch(batch_id, *counts)
+        if on_failed:
+            on_failed(batch_id, n_failed)
 
     return (records.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
 def ingest_landing(spark: SparkSession, landing: str, table_path: str, checkpoint: str, as_of: date,
-                   now: datetime | None = None, on_batch: Callable[[int, int, int], None] | None = None) -> None:
+                   now: datetime | None = None, on_batch: Callable[[int, int, int], None] | None = None,
+                   on_failed: Callable[[int, int], None] | None = None) -> None:
     """One pass over what has arrived since the last one."""
-    upsert_stream(landing_stream(spark, landing), table_path, checkpoint, normalize, as_of, now,
-                  on_batch).awaitTermination()
+    upsert_stream(page_stream(spark, landing), table_path, checkpoint, lambda pages: normalize(explode_records(pages)), as_of, now,
+                  on_batch, corrupt_pages, on_failed).awaitTermination()

@@ -246,6 +246,27 @@ def test_stream_replay_inserts_nothing(spark, tmp_path):
     assert seen[1] == (1, 1) and seen[2] == (0, 3) and read_table(spark, str(tmp_path / "recalls")).count() == 3
 
 
+def test_stream_keeps_what_failed(spark, tmp_path):
+    landing, counts = tmp_path / "landing", []
+    land(landing, "Drugs", "p0.json", [DRUG, {**DRUG, "recall_number": "D-2", "reason_for_recall": ""}])
+    (landing / "Drugs" / "p1.json").write_text("{not json")
+
+    def run():
+        ingest_landing(spark, str(landing), str(tmp_path / "recalls"), str(tmp_path / "checkpoint"), TODAY, datetime(2026, 6, 1),
+                       on_failed=lambda batch, failed: counts.append((batch, failed)))
+        rows = spark.read.parquet(f"{tmp_path}/checkpoint-quarantine").collect()
+        return sorted((r.batch_id, r.recall_number or "", *r.errors, (r.file or "")[-7:]) for r in rows)
+    first = [(0, "", "corrupt_page", "p1.json"), (0, "D-2", "required:reason_for_recall", "")]
+    assert run() == first
+    for name in ("0", ".0.crc"):  # as if the job had died before the batch was committed
+        (tmp_path / "checkpoint" / "commits" / name).unlink(missing_ok=True)
+    assert run() == first
+    land(landing, "Drugs", "p2.json", [{**DRUG, "recall_number": "D-3", "recalling_firm": ""}, {**DRUG, "recall_number": "D-4"}])
+    assert run() == [*first, (1, "D-3", "required:recalling_firm", "")]
+    assert counts == [(0, 2), (0, 2), (1, 1)]
+    assert {r.recall_number for r in read_table(spark, str(tmp_path / "recalls")).collect()} == {DRUG["recall_number"], "D-4"}
+
+
 def test_web_layouts(spark):
     row = "<td>{}</td><td><a href='x' href=\"/d\">{}</a></td><td>{}</td>"
     table = f'<table class="views cols-4"><tbody><tr>{row.format("Mar 5, 2026", "Rx <b>pills</b>", "Mold")}<td>Acme</td></tr></tbody></table>'
