@@ -233,6 +233,8 @@ def _linked(pairs: DataFrame, docs: DataFrame, sets: DataFrame, percent: int, br
     ids = stored(needed.join(sets, "key").select(F.col("class_id").alias("doc_id"), "key"))
     few = ids.count() <= broadcast_rows
     rows = docs.join(F.broadcast(ids.select("doc_id")) if few else ids.select("doc_id"), "doc_id", "left_semi")
+    if ids.filter("doc_id IS NULL").limit(1).count():  # sets whose rows all have a null id
+        rows = rows.unionByName(docs.filter("doc_id IS NULL"))
     # rows that share an id with a needed one make sets too: only the needed keys count, once each
     made = rows.mapInArrow(again, "key long, shingles binary").join(ids.select("key"), "key", "left_semi").dropDuplicates(["key"])
     whole = (pairs.join(made.select(F.col("key").alias("a"), F.col("shingles").alias("set_a")), "a")
