@@ -6,7 +6,7 @@ many documents share seldom lead to candidates. The classes that share such a sh
 Short lists give their pairs; in long lists every class is first compared with a few pivots of its size
 band and of the next, and what that leaves in different components is compared in tiles: blocks of
 bounded size of the same or neighbouring size bands. Pairs whose bitmaps rule out enough overlap are dropped by bit counts, the
-others are intersected exactly. No link between different sets is lost.
+others are intersected exactly. No link between different components is lost; links inside one are not all looked up.
 """
 
 from __future__ import annotations
@@ -322,12 +322,12 @@ def _tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
                        broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``doc_id, n_shingles, component_id, n_links`` of every row.
+    """``doc_id, n_shingles, component_id, n_links_found`` of every row.
 
     A document's set are the distinct 5-word shingles of its words (A-Z in lower case, separated by
     ASCII white space); a text of fewer words is one shingle, a null or blank one has none and links
     with nothing. ``component_id`` is the smallest id reachable by links, its own included;
-    ``n_links`` counts the other different sets that were found linked with this one's set directly
+    ``n_links_found`` counts the other different sets that were found linked with this one's set directly
     (a lower bound: links inside a component that was already known are not all looked up). Rows of
     equal sets, or that share an id and a text, are of one component. A null id stays in the
     result; it is the component of its set only if all its ids are null.
@@ -354,12 +354,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     edges = stored(first.unionByName(second).distinct())
     labels = components(edges)
     ends = edges.select(F.col("a").alias("key")).unionByName(edges.select(F.col("b").alias("key")))
-    degree = ends.groupBy("key").agg(F.count(F.lit(1)).alias("n_links"))
+    degree = ends.groupBy("key").agg(F.count(F.lit(1)).alias("n_links_found"))
     # the label of a component is a set's key: its smallest class id is what the result shows
     classes = (sets.select("key", "class_id").join(labels.withColumnRenamed("id", "key"), "key", "left")
                .withColumn("label", F.coalesce("label", "key")))
     smallest = classes.groupBy("label").agg(F.min("class_id").alias("component_id"))
-    named = classes.join(smallest, "label").join(degree, "key", "left").select("key", "component_id", "n_links")
+    named = classes.join(smallest, "label").join(degree, "key", "left").select("key", "component_id", "n_links_found")
     return (found.select("doc_id", "n", "key").join(named, "key", "left")
             .select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"),
-                    F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+                    F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links_found", F.lit(0)).alias("n_links_found")))

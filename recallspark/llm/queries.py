@@ -90,7 +90,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents")).drop("n_links")
+    return jaccard_components(table(spark, sf_dir, "documents")).drop("n_links_found")
 
 
 OP9_SQL = r"""

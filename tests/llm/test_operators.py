@@ -406,5 +406,5 @@ def test_jaccard_links_through_rows_without_id(spark):
     left, middle, right = words[:50], words[4:54], words[8:58]  # neighbours link, the ends don't
     docs = spark.createDataFrame([(1, " ".join(left)), (None, " ".join(middle)), (2, " ".join(right)), (3, "none of these words at all"),
                                   (None, "nobody else says this at all")], "doc_id long, text string")
-    got = sorted((r.doc_id or 0, r.component_id or 0, r.n_links) for r in jaccard_components(docs).collect())
+    got = sorted((r.doc_id or 0, r.component_id or 0, r.n_links_found) for r in jaccard_components(docs).collect())
     assert got == [(0, 0, 0), (0, 1, 2), (1, 1, 1), (2, 1, 1), (3, 3, 0)]
