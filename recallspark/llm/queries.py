@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from recallspark.llm.byte_bpe import encode_documents
 from recallspark.llm.decontaminate import find_leaks
 from recallspark.llm.exact_dedup import exact_dedup
+from recallspark.llm.fill_in_middle import fill_in_middle, restored
 from recallspark.llm.jaccard_join import jaccard_components
 from recallspark.llm.katz import katz_scores
 from recallspark.llm import language_mixture, toxicity
@@ -109,7 +110,27 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digest(find_personal_data(table(spark, sf_dir, "documents")))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("form"), F.col("output")), 256).alias("restored_sha256"))
+
+
+OP11_SQL = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+             sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+h AS (SELECT *, len(u) AS n, list_transform([1, 9, 17, 25], lambda i: ('0x' || substr(h, i, 8))::BIGINT) AS x FROM t),
+c AS (SELECT *, least(x[1] % (n + 1), x[2] % (n + 1)) AS a, greatest(x[1] % (n + 1), x[2] % (n + 1)) AS b,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR x[3] % 100 >= 100 THEN 'plain'
+             WHEN x[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256 FROM p"""
+
+
 ENTRIES = {
+    "op11_fill_in_middle": (op11, OP11_SQL),
     "op7_katz": (op7, None),
     "op8_licences": (op8, None),
     "op9_jaccard_join": (op9, OP9_SQL),
