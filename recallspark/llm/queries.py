@@ -16,6 +16,7 @@ from recallspark.llm.language_mixture import remainder
 from recallspark.llm.licences import scan_licences
 from recallspark.llm.personal_data import find_personal_data, span_digest
 from recallspark.llm.token_files import token_files
+from recallspark.llm.warc import archived
 
 
 def tokenizer_file(name: str) -> str:
@@ -129,7 +130,19 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS pre
               ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256 FROM p"""
 
 
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(table(spark, sf_dir, "pages"))
+
+
+OP12_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest,
+             min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id FROM pages)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to FROM p"""
+
+
 ENTRIES = {
+    "op12_warc": (op12, OP12_SQL),
     "op11_fill_in_middle": (op11, OP11_SQL),
     "op7_katz": (op7, None),
     "op8_licences": (op8, None),
