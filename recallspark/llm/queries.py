@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recallspark.llm.alignment import alignment
 from recallspark.llm.byte_bpe import encode_documents
 from recallspark.llm.decontaminate import find_leaks
 from recallspark.llm.exact_dedup import exact_dedup
@@ -141,7 +142,12 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AN
   CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to FROM p"""
 
 
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
 ENTRIES = {
+    "op13_alignment": (op13, None),
     "op12_warc": (op12, OP12_SQL),
     "op11_fill_in_middle": (op11, OP11_SQL),
     "op7_katz": (op7, None),

@@ -35,7 +35,7 @@ def test_every_query_is_registered():
     names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
     assert sorted(names, key=lambda n: (n == "pipeline", int(n[2:].split("_")[0]) if n != "pipeline" else 0)) == [
         "op1_language_mixture", "op2_token_files", "op3_decontaminate", "op4_exact_dedup", "op5_byte_bpe", "op6_toxicity", "op7_katz",
-        "op8_licences", "op9_jaccard_join", "op10_personal_data", "op11_fill_in_middle", "op12_warc", "pipeline"]
+        "op8_licences", "op9_jaccard_join", "op10_personal_data", "op11_fill_in_middle", "op12_warc", "op13_alignment", "pipeline"]
 
 
 @pytest.mark.parametrize("name", ["op3_decontaminate", "op4_exact_dedup", "op9_jaccard_join"])
