@@ -30,10 +30,11 @@ from recallspark.llm.storage import stored
 
 ALIGNED = "doc_id long, a_ids array<int>, b_ids array<int>, a_sizes array<int>, b_sizes array<int>"
 #: Runs, and tokens of runs, that a task remembers before it starts anew.
-REMEMBERED, REMEMBERED_TOKENS = 300_000, 4_000_000
+REMEMBERED, REMEMBERED_TOKENS = 200_000, 2_000_000
 #: Tokens of both sides that are worked on at once (one longer document is a piece by itself).
 PIECE_TOKENS = 1_000_000
 _GAP = re.compile(r"[\s\x1c-\x1f\x85]{2}")
+_SPACE = re.compile(r"[\s\x1c-\x1f\x85]")
 _CUT = re.compile(r"(?<=[^\s\x1c-\x1f\x85]) (?=[^\s\x1c-\x1f\x85])")
 
 
@@ -67,10 +68,30 @@ class Tokenizers:
         same = {piece: i for i, piece in enumerate(self.b_bytes)}  # the last: a piece rather than the byte it stands for
         self.identity = np.array([same.get(t, -1) for t in self.a_bytes], dtype=np.int32)
 
-    def encode(self, runs: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """A and B ids of runs that begin with a space; B puts that space itself."""
-        return ([e.ids for e in self.a.encode_batch_fast(runs, add_special_tokens=False)],
-                self.b.encode([r[1:] for r in runs], num_threads=1))
+    def encode(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``(A ids, their ends by run, B ids, their ends by run, whether each run is given back)``.
+
+        Runs begin with a space (B puts that space itself) and don't depend on their neighbours, so as
+        many as give back their own bytes go through together.
+        """
+        sizes = np.array([len(r.encode()) for r in runs], dtype=np.int64)
+        joined = "".join(runs)
+        sides, data = [], joined.encode()
+        for ids, table, lengths in ((self.a.encode_batch_fast([joined], add_special_tokens=False)[0].ids, self.a_bytes, self.a_lengths),
+                                    (self.b.encode(joined[1:], num_threads=1), self.b_bytes, self.b_lengths)):
+            ids = np.array(ids, dtype=np.int32)
+            if b"".join(map(table.__getitem__, ids.tolist())) != data:
+                break
+            sides += [ids, np.searchsorted(np.cumsum(lengths[ids]), np.cumsum(sizes), side="right")]
+        if len(sides) == 4:
+            return *sides, np.ones(len(runs), bool)
+        if len(runs) > 1:  # one of them is not given back: find it by halves
+            half = len(runs) // 2
+            (a, ends_a, b, ends_b, fine), (a2, ends_a2, b2, ends_b2, fine2) = self.encode(runs[:half]), self.encode(runs[half:])
+            joint = np.concatenate
+            return joint((a, a2)), joint((ends_a, ends_a2 + len(a))), joint((b, b2)), joint((ends_b, ends_b2 + len(b))), joint((fine, fine2))
+        nothing, end = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        return nothing, end, nothing, end, np.zeros(1, bool)
 
 
 @lru_cache(maxsize=1)
@@ -78,30 +99,41 @@ def tokenizers(a_path: str, b_path: str) -> Tokenizers:
     return Tokenizers(a_path, b_path)
 
 
+class Grown:
+    """An array that grows at its end."""
+
+    def __init__(self, kind: type):
+        self.held, self.used = np.zeros(1 << 12, kind), 0
+
+    def add(self, values: np.ndarray) -> None:
+        if self.used + len(values) > len(self.held):
+            self.held = np.concatenate((self.held[:self.used], np.zeros(self.used + 2 * len(values), self.held.dtype)))
+        self.held[self.used:self.used + len(values)] = values
+        self.used += len(values)
+
+
 class Column:
     """Values of all remembered runs behind each other."""
 
     def __init__(self):
-        self.values, self.used, self.ends = np.zeros(1 << 12, np.int32), 0, [0]
+        self.values, self.ends = Grown(np.int32), Grown(np.int64)
+        self.ends.add(np.zeros(1, np.int64))
 
     def add(self, values: np.ndarray, ends: np.ndarray) -> None:
-        while self.used + len(values) > len(self.values):
-            self.values = np.concatenate((self.values, np.zeros_like(self.values)))
-        self.values[self.used:self.used + len(values)] = values
-        self.ends.extend((ends + self.used).tolist())
-        self.used += len(values)
+        self.ends.add(ends + self.values.used)
+        self.values.add(values)
 
-    def take(self, runs: np.ndarray, ends: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def take(self, runs: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The values of ``runs`` in order, and where each row's end (a row ends behind ``rows`` of the runs)."""
-        begins = ends[runs]
-        counts = ends[runs + 1] - begins
+        begins = self.ends.held[runs]
+        counts = self.ends.held[runs + 1] - begins
         sums = np.concatenate(([0], np.cumsum(counts)))
         places = np.arange(sums[-1]) + np.repeat(begins - sums[:-1], counts)
-        return self.values[places], sums[rows]
+        return self.values.held[places], sums[rows]
 
 
 class Memory:
-    """The alignment of runs, by run."""
+    """The alignment of runs, by run. It lives as long as a task."""
 
     def __init__(self, coder: Tokenizers):
         self.coder = coder
@@ -109,41 +141,39 @@ class Memory:
 
     def forget(self) -> None:
         self.index: dict[str, int] = {}
-        self.broken: set[int] = set()
-        self.columns = [Column() for _ in range(4)]
+        self.fine, self.columns = Grown(bool), [Column() for _ in range(4)]
 
     def learn(self, runs: list[str]) -> None:
-        a_ids, b_ids = self.coder.encode(runs)
-        for i, run in enumerate(runs):
-            data = run.encode()
-            self.index[run] = len(self.index)
-            if data != b"".join(map(self.coder.a_bytes.__getitem__, a_ids[i])) or data != b"".join(map(self.coder.b_bytes.__getitem__, b_ids[i])):
-                self.broken.add(self.index[run])
-                a_ids[i], b_ids[i] = [], []
-        flat_a, flat_b = (np.fromiter((t for ids in side for t in ids), np.int32) for side in (a_ids, b_ids))
-        ends_a, ends_b = np.cumsum(self.coder.a_lengths[flat_a]), np.cumsum(self.coder.b_lengths[flat_b])
-        last_a, last_b = np.flatnonzero(np.isin(ends_a, ends_b)), np.flatnonzero(np.isin(ends_b, ends_a))  # last tokens of groups
-        tokens_a, tokens_b = (np.cumsum([len(ids) for ids in side]) for side in (a_ids, b_ids))
-        groups = np.searchsorted(last_a, tokens_a)  # every run ends a group
-        for column, values, ends in zip(self.columns, (flat_a, flat_b, np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)),
-                                        (tokens_a, tokens_b, groups, groups)):
-            column.add(values, ends)
+        """Runs with white space at their end go through alone, others together."""
+        alone = [r for r in runs if len(r) < 2 or _SPACE.match(r[1]) or _SPACE.match(r[-1])]
+        others = [r for r in runs if not (len(r) < 2 or _SPACE.match(r[1]) or _SPACE.match(r[-1]))] if alone else runs
+        for some in [*[[r] for r in alone], *[others[i:i + 1000] for i in range(0, len(others), 1000)]]:
+            a_ids, tokens_a, b_ids, tokens_b, fine = self.coder.encode(some)
+            self.index.update(zip(some, range(len(self.index), len(self.index) + len(some))))
+            self.fine.add(fine)
+            ends_a, ends_b = np.cumsum(self.coder.a_lengths[a_ids]), np.cumsum(self.coder.b_lengths[b_ids])
+            last_a, last_b = np.flatnonzero(np.isin(ends_a, ends_b)), np.flatnonzero(np.isin(ends_b, ends_a))  # last tokens of groups
+            groups = np.searchsorted(last_a, tokens_a)  # every run ends a group
+            for column, values, ends in zip(self.columns, (a_ids, b_ids, np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)),
+                                            (tokens_a, tokens_b, groups, groups)):
+                column.add(values, ends)
 
     def align(self, batch: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """(values, row offsets) of A ids, B ids, A tokens by group and B tokens by group; an unlike text has none."""
+        """(values, row offsets) of A ids, B ids, A tokens by group and B tokens by group; a text that is not given back has none."""
         cut = [[] if not t else [" " + r for r in (_CUT.split(t) if _GAP.search(f" {t} ") else t.split(" "))] for t in batch]
-        if len(self.index) > REMEMBERED or max(c.used for c in self.columns) > REMEMBERED_TOKENS:
+        if len(self.index) > REMEMBERED or max(c.values.used for c in self.columns) > REMEMBERED_TOKENS:
             self.forget()
         new = list(set().union(*cut).difference(self.index))
         if new:
             self.learn(new)
-        index = self.index.__getitem__
-        runs = [list(map(index, r)) for r in cut]
-        if self.broken:
-            runs = [[] if not self.broken.isdisjoint(r) else r for r in runs]
-        rows = np.concatenate(([0], np.cumsum([len(r) for r in runs])))
-        flat = np.fromiter((i for r in runs for i in r), np.int64, int(rows[-1]))
-        return [c.take(flat, np.array(c.ends), rows) for c in self.columns]
+        rows = np.concatenate(([0], np.cumsum([len(r) for r in cut])))
+        runs = np.array([i for r in cut for i in map(self.index.__getitem__, r)], dtype=np.int64)
+        broken = np.concatenate(([0], np.cumsum(~self.fine.held[runs])))[rows]
+        if broken[-1]:
+            kept = np.diff(broken) == 0
+            counts = np.diff(rows)
+            runs, rows = runs[np.repeat(kept, counts)], np.concatenate(([0], np.cumsum(counts * kept)))
+        return [c.take(runs, rows) for c in self.columns]
 
 
 def align_documents(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
