@@ -14,6 +14,7 @@ broadcast whatever the size of the corpus.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -28,9 +29,10 @@ from pyspark.sql import functions as F
 from recallspark.llm.batches import lists, pieces, texts
 from recallspark.llm.storage import stored
 
-ALIGNED = "doc_id long, a_ids array<int>, b_ids array<int>, a_sizes array<int>, b_sizes array<int>"
+#: The tokens of both sides: 32-bit little-endian numbers, twice the id, plus one where the token ends a group.
+ALIGNED = "doc_id long, a_tokens binary, b_tokens binary"
 #: Runs, and tokens of runs, that a task remembers before it starts anew.
-REMEMBERED, REMEMBERED_TOKENS = 200_000, 2_000_000
+REMEMBERED, REMEMBERED_TOKENS = 400_000, 3_000_000
 #: Tokens of both sides that are worked on at once (one longer document is a piece by itself).
 PIECE_TOKENS = 1_000_000
 _GAP = re.compile(r"[\s\x1c-\x1f\x85]{2}")
@@ -65,6 +67,7 @@ class Tokenizers:
             raise ValueError(f"{b_path} has pieces that reach over a space, so texts can't be cut there")
         self.a_lengths = np.array([len(t) for t in self.a_bytes], dtype=np.int64)
         self.b_lengths = np.array([len(t) for t in self.b_bytes], dtype=np.int64)
+        self.ranked = ranked_pairs(a_path, vocabulary, self.a_bytes)
         same = {piece: i for i, piece in enumerate(self.b_bytes)}  # the last: a piece rather than the byte it stands for
         self.identity = np.array([same.get(t, -1) for t in self.a_bytes], dtype=np.int32)
 
@@ -77,8 +80,8 @@ class Tokenizers:
         sizes = np.array([len(r.encode()) for r in runs], dtype=np.int64)
         joined = "".join(runs)
         sides, data = [], joined.encode()
-        for ids, table, lengths in ((self.a.encode_batch_fast([joined], add_special_tokens=False)[0].ids, self.a_bytes, self.a_lengths),
-                                    (self.b.encode(joined[1:], num_threads=1), self.b_bytes, self.b_lengths)):
+        a_ids = self.ranked.encode_ordinary(joined) if self.ranked else self.a.encode(joined, add_special_tokens=False).ids
+        for ids, table, lengths in ((a_ids, self.a_bytes, self.a_lengths), (self.b.encode(joined[1:], num_threads=1), self.b_bytes, self.b_lengths)):
             ids = np.array(ids, dtype=np.int32)
             if b"".join(map(table.__getitem__, ids.tolist())) != data:
                 break
@@ -94,6 +97,25 @@ class Tokenizers:
         return nothing, end, nothing, end, np.zeros(1, bool)
 
 
+def ranked_pairs(path: str, vocabulary: dict[str, int], id_bytes: list[bytes]):
+    """The same byte-level BPE as a tiktoken encoding, which is several times as fast, or None: merges must have
+    their ids in the order of their ranks, and the text be split by the byte-level pattern alone."""
+    import public_tokenizers
+    import tiktoken
+    with open(path, encoding="utf-8") as file:
+        told = json.load(file)
+    split, model = told["pre_tokenizer"], told["model"]
+    merged = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    plain = told["normalizer"] is None and split["type"] == "ByteLevel" and split.get("use_regex", True) and not split["add_prefix_space"]
+    if not plain or model["type"] != "BPE" or model.get("ignore_merges") or merged != sorted(merged):
+        return None
+    added = {t["id"] for t in told["added_tokens"]}
+    ranks = {token: i for i, token in enumerate(id_bytes) if token and i not in added}
+    if len(ranks) != 256 + len(merged):
+        return None
+    return tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 @lru_cache(maxsize=1)
 def tokenizers(a_path: str, b_path: str) -> Tokenizers:
     return Tokenizers(a_path, b_path)
@@ -140,32 +162,30 @@ class Memory:
         self.forget()
 
     def forget(self) -> None:
-        self.index: dict[str, int] = {}
-        self.fine, self.columns = Grown(bool), [Column() for _ in range(4)]
+        self.index: dict[str, int] = {}  # without the space that a run begins with
+        self.fine, self.columns = Grown(bool), [Column(), Column()]
 
-    def learn(self, runs: list[str]) -> None:
-        """Runs with white space at their end go through alone, others together."""
-        alone = [r for r in runs if len(r) < 2 or _SPACE.match(r[1]) or _SPACE.match(r[-1])]
-        others = [r for r in runs if not (len(r) < 2 or _SPACE.match(r[1]) or _SPACE.match(r[-1]))] if alone else runs
+    def learn(self, runs: list[str], gaps: bool) -> None:
+        """Runs with white space at their ends go through alone, others together."""
+        alone = [r for r in runs if not r or _SPACE.match(r[0]) or _SPACE.match(r[-1])] if gaps else []
+        others = list(set(runs).difference(alone)) if alone else runs
         for some in [*[[r] for r in alone], *[others[i:i + 1000] for i in range(0, len(others), 1000)]]:
-            a_ids, tokens_a, b_ids, tokens_b, fine = self.coder.encode(some)
+            a_ids, ends_a, b_ids, ends_b, fine = self.coder.encode([" " + r for r in some])
             self.index.update(zip(some, range(len(self.index), len(self.index) + len(some))))
             self.fine.add(fine)
-            ends_a, ends_b = np.cumsum(self.coder.a_lengths[a_ids]), np.cumsum(self.coder.b_lengths[b_ids])
-            last_a, last_b = np.flatnonzero(np.isin(ends_a, ends_b)), np.flatnonzero(np.isin(ends_b, ends_a))  # last tokens of groups
-            groups = np.searchsorted(last_a, tokens_a)  # every run ends a group
-            for column, values, ends in zip(self.columns, (a_ids, b_ids, np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)),
-                                            (tokens_a, tokens_b, groups, groups)):
-                column.add(values, ends)
+            at_a, at_b = np.cumsum(self.coder.a_lengths[a_ids]), np.cumsum(self.coder.b_lengths[b_ids])
+            self.columns[0].add(a_ids << 1 | np.isin(at_a, at_b), ends_a)  # the end of a run ends a group, too
+            self.columns[1].add(b_ids << 1 | np.isin(at_b, at_a), ends_b)
 
     def align(self, batch: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """(values, row offsets) of A ids, B ids, A tokens by group and B tokens by group; a text that is not given back has none."""
-        cut = [[] if not t else [" " + r for r in (_CUT.split(t) if _GAP.search(f" {t} ") else t.split(" "))] for t in batch]
+        """(tokens, row offsets) by A and by B, as in ``ALIGNED``; a text that is not given back has none."""
+        gaps = [_GAP.search(f" {t} ") is not None for t in batch]
+        cut = [[] if not t else _CUT.split(t) if gap else t.split(" ") for t, gap in zip(batch, gaps)]
         if len(self.index) > REMEMBERED or max(c.values.used for c in self.columns) > REMEMBERED_TOKENS:
             self.forget()
         new = list(set().union(*cut).difference(self.index))
         if new:
-            self.learn(new)
+            self.learn(new, any(gaps))
         rows = np.concatenate(([0], np.cumsum([len(r) for r in cut])))
         runs = np.array([i for r in cut for i in map(self.index.__getitem__, r)], dtype=np.int64)
         broken = np.concatenate(([0], np.cumsum(~self.fine.held[runs])))[rows]
@@ -177,33 +197,53 @@ class Memory:
 
 
 def align_documents(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, a_ids, b_ids, a_sizes, b_sizes``: the ids of space and text by A and of text by B, and how many
-    of each are in every group between two byte offsets where tokens of both end.
+    """``doc_id, a_tokens, b_tokens`` (see ``ALIGNED``; ``token_arrays`` unpacks them): the ids of space and text by A and
+    of text by B, and which of them end a group, that is, end where a token of the other side ends.
 
     Strings of special tokens are plain text. Texts that are null, empty, or that the bytes of A or B ids
     don't give back have no tokens. One row per row, ids repeated or null or not (whole numbers);
     very long texts are worked on whole; other columns are ignored. No shuffle.
     """
-    schema = pa.schema([("doc_id", pa.int64()), *[(n, pa.list_(pa.int32())) for n in ("a_ids", "b_ids", "a_sizes", "b_sizes")]])
+    schema = pa.schema([("doc_id", pa.int64()), ("a_tokens", pa.binary()), ("b_tokens", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = Memory(tokenizers(a_path, b_path))
         for batch in pieces(batches):
-            columns = [lists(values.astype(np.int32), offsets) for values, offsets in memory.align(texts(batch))]
+            columns = [pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer((4 * ends).astype("<i4")), pa.py_buffer(tokens.astype("<i4"))])
+                       for tokens, ends in memory.align(texts(batch))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], schema=schema)
 
     return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, ALIGNED)
 
 
+def token_arrays(aligned: DataFrame) -> DataFrame:
+    """``doc_id, a_ids, b_ids, a_sizes, b_sizes``: ids in order, and how many of each side are in every group."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for groups in _groups(batches):
+            parts = [(groups.a, groups.n_a), (groups.b, groups.n_b), (groups.a_sizes, groups.n_groups), (groups.b_sizes, groups.n_groups)]
+            columns = [lists(values.astype(np.int32), np.concatenate(([0], np.cumsum(counts)))) for values, counts in parts]
+            yield pa.RecordBatch.from_arrays([groups.ids, *columns], names=["doc_id", "a_ids", "b_ids", "a_sizes", "b_sizes"])
+
+    return aligned.mapInArrow(run, "doc_id long, a_ids array<int>, b_ids array<int>, a_sizes array<int>, b_sizes array<int>")
+
+
+def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers in a binary column, and how many are in each row."""
+    column = column.cast(pa.binary())
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1] // 4
+    return np.frombuffer(column.buffers()[2] or b"", "<i4")[ends[0]:ends[-1]], np.diff(ends).astype(np.int64)
+
+
 class Groups:
     """The groups of some aligned documents, behind each other."""
 
     def __init__(self, batch: pa.RecordBatch):
         self.ids = batch.column(0)
-        (self.a, n_a), (self.b, n_b), (self.a_sizes, groups), (self.b_sizes, _) = (
-            (c.flatten().to_numpy(), c.value_lengths().to_numpy()) for c in (batch.column(i) for i in range(1, 5)))
-        self.n_a, self.n_b, self.n_groups = n_a.astype(np.int64), n_b.astype(np.int64), groups.astype(np.int64)
-        self.a_ends, self.b_ends = np.cumsum(self.a_sizes, dtype=np.int64), np.cumsum(self.b_sizes, dtype=np.int64)
+        (a, self.n_a), (b, self.n_b) = _tokens(batch.column(1)), _tokens(batch.column(2))
+        self.a, self.b = a >> 1, b >> 1
+        self.a_ends, self.b_ends = np.flatnonzero(a & 1) + 1, np.flatnonzero(b & 1) + 1  # of each group, in tokens
+        self.a_sizes, self.b_sizes = np.diff(self.a_ends, prepend=0), np.diff(self.b_ends, prepend=0)
+        self.n_groups = np.diff(np.concatenate(([0], np.cumsum(a & 1)))[np.concatenate(([0], np.cumsum(self.n_a)))])
         self.last_a, self.last_b = self.a[self.a_ends - 1], self.b[self.b_ends - 1]  # the pair of ids that ends with each group
 
     def pairs(self) -> np.ndarray:
@@ -233,8 +273,8 @@ def id_words(a_size: int, b_size: int) -> list[str]:
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[Groups]:
     for batch in batches:
-        sizes = pc.add(pc.list_value_length(batch.column(1)), pc.list_value_length(batch.column(2))).to_numpy()
-        piece = np.cumsum(sizes, dtype=np.int64) // PIECE_TOKENS
+        sizes = pc.add(pc.binary_length(batch.column(1)), pc.binary_length(batch.column(2))).to_numpy()
+        piece = np.cumsum(sizes, dtype=np.int64) // (4 * PIECE_TOKENS)
         cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
         for x, y in zip(cuts, cuts[1:]):
             if y > x:

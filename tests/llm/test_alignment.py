@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from recallspark.llm import alignment
-from recallspark.llm.alignment import Memory, align_documents, byte_level, count_links, score_links, tokenizers
+from recallspark.llm.alignment import Memory, align_documents, byte_level, count_links, score_links, token_arrays, tokenizers
 from recallspark.llm.storage import stored
 from tests.llm.conftest import ODD, SMALL
 
@@ -73,7 +73,8 @@ def test_runs_give_what_whole_texts_give():
     memory = Memory(tokenizers(A, B))
     a, b, of_a, of_b = token_bytes()
     for _ in range(2):  # learned and remembered
-        (ids_a, ends_a), (ids_b, ends_b), *_ = memory.align(TEXTS)
+        (ids_a, ends_a), (ids_b, ends_b) = memory.align(TEXTS)
+        ids_a, ids_b = ids_a >> 1, ids_b >> 1
         for i, text in enumerate(TEXTS):
             whole = a.encode(" " + text, add_special_tokens=False).ids
             like = b"".join(of_b(j) for j in b.encode(text)) == (" " + text).encode()
@@ -96,5 +97,20 @@ def test_odd_rows(spark, odd, none, monkeypatch):
     assert {(r.a, r.b): r.n for r in counts.collect()} == dict(pairs) and counts.count() == len(pairs)
     assert sorted((tuple(r) for r in score_links(aligned, counts, A, B, digest=True).collect()), key=repr) == expected
     assert align_documents(odd, A, B).count() == len(ODD)
+    arrays = {r.doc_id: r for r in token_arrays(aligned).collect()}
+    assert arrays[100].a_ids and all(sum(r.a_sizes) == len(r.a_ids) and sum(r.b_sizes) == len(r.b_ids) and len(r.a_sizes) == len(r.b_sizes) for r in arrays.values())
+    assert (arrays[106].a_ids, arrays[106].b_sizes) == ([], [])
+
+
+def test_tokenizer_without_ranked_merges(monkeypatch):
+    coder = alignment.Tokenizers(A, B)
+    assert coder.ranked is not None
+    fast = Memory(coder).align(TEXTS)
+    coder.ranked = None
+    for (x, x_ends), (y, y_ends) in zip(fast, Memory(coder).align(TEXTS)):
+        assert x.tolist() == y.tolist() and x_ends.tolist() == y_ends.tolist()
+
+
+def test_no_documents(spark, none):
     empty = stored(align_documents(none, A, B))
     assert score_links(empty, count_links(empty, A, B), A, B).count() == 0
