@@ -19,7 +19,7 @@ from recallspark.operators.validate import batch_counts, quarantine, valid_rows,
 from recallspark.plans.ingest import run_errors, sum_runs
 from recallspark.schemas import RECORD_COLUMNS
 from recallspark.session import checkpoint, scratch_dir
-from recallspark.sources.landing import completeness, explode_records, in_date_range
+from recallspark.sources.landing import completeness, explode_records, in_date_range, with_results
 from checks.standin import RECALL_VIEW_SQL, recall_view as _view, table
 from recallspark.sources.store import read_table
 from recallspark.sources.webpages import infer_product_type, parse_alerts, pseudo_id
@@ -60,8 +60,9 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         compact.alias("event_date_initiated"), posted.alias("event_date_posted"),
         F.when(line == 4, compact).alias("event_date_created"), *shared))
     record = F.when(F.col("product_type") == "Devices", device).otherwise(plain)
-    page = F.try_parse_json(F.concat(F.lit('{"meta": {"results": {"total": 1}}, "results": ['), record, F.lit("]}")))
-    return explode_records(view.select("product_type", F.struct(*LINE).alias("file"), page.alias("page")))
+    # the row number keeps the optimiser from carrying this text as a constraint through all that follows
+    page = F.when(F.monotonically_increasing_id() >= 0, F.concat(F.lit('{"meta": {"results": {"total": 1}}, "results": ['), record, F.lit("]}")))
+    return explode_records(with_results(view.select("product_type", F.struct(*LINE).alias("file"), page.alias("text")), F.col("text")))
 
 
 def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,11 +70,7 @@ def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nrm_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalized(spark, sf_dir).select(
-        "ingest_ord.file.*", "recall_number", "event_id", "source", "product_type", "classification", "status",
-        "recalling_firm", "reason_for_recall", "product_description", "product_quantity", "code_info",
-        "distribution_pattern", "voluntary_mandated", "recall_initiation_date", "report_date", "termination_date",
-        "state", "country", "generic_name", "route", F.array_join("type_errors", ",").alias("type_errors"))
+    return normalized(spark, sf_dir).select("ingest_ord.file.*", *RECORD_COLUMNS, "raw_json", F.array_join("type_errors", ",").alias("type_errors"))
 
 
 _DEV = "product_type = 'Devices'"
@@ -93,6 +90,35 @@ NORMALIZED_SQL = f"""SELECT {LINES},
   CASE WHEN l_linenumber = 1 THEN 'voluntary_mandated' ELSE '' END AS type_errors FROM recalls"""
 
 
+def json_sql(fields: dict[str, str], plain: tuple[str, ...] = ()) -> str:
+    """Compact JSON of the fields that are not null; those in ``plain`` are JSON already."""
+    parts = [f"""'"{k}":' || {f"({v})" if k in plain else f"to_json(({v})::VARCHAR)::VARCHAR"}""" for k, v in fields.items()]
+    return "'{' || concat_ws(',', " + ", ".join(parts) + ") || '}'"
+
+
+_COMPACT = "strftime(recall_initiation_date, '%Y%m%d')"
+_POSTED = "CASE WHEN l_linenumber % 2 = 0 THEN strftime(report_date, '%Y%m%d') ELSE report_date::VARCHAR END"
+_SHARED = {"recalling_firm": "recalling_firm", "reason_for_recall": r"'  ' || replace(reason_for_recall, ' ', ' ' || chr(9) || ' ')",
+           "product_quantity": "product_quantity", "distribution_pattern": "distribution_pattern", "state": "state", "country": "country",
+           "voluntary_mandated": "CASE WHEN l_linenumber = 1 THEN '7' END"}
+_PLAIN_JSON = json_sql({
+    "recall_number": "recall_number", "event_id": "l_orderkey", "classification": "classification", "status": "status",
+    "product_description": "product_description", "recall_initiation_date": _COMPACT, "report_date": _POSTED,
+    "openfda": json_sql({"generic_name": """CASE WHEN generic_name IS NOT NULL THEN '[' || to_json(generic_name)::VARCHAR || ',"B"]' END""", "route": "route"},
+                        ("generic_name",)), **_SHARED}, ("openfda", "voluntary_mandated"))
+_DEVICE_JSON = json_sql({
+    "res_event_number": "CASE WHEN l_linenumber <> 2 THEN recall_number END", "cfres_id": "'C-' || recall_number",
+    "event_type": "CASE WHEN classification = 'Class II' THEN 'Recall' ELSE classification END", "recall_status": "status",
+    "product_description": "CASE WHEN l_linenumber <> 3 THEN product_description END", "code_info": "'Lot ' || l_partkey",
+    "event_date_initiated": _COMPACT, "event_date_posted": _POSTED, "event_date_created": f"CASE WHEN l_linenumber = 4 THEN {_COMPACT} END",
+    **_SHARED}, ("voluntary_mandated",))
+_NULLS = {"initial_firm_notification": "VARCHAR", "center_classification_date": "DATE", **dict.fromkeys(
+    ["city", "postal_code", "brand_name", "manufacturer_name", "product_ndc", "substance_name", "application_number"], "VARCHAR")}
+#: All record columns and the stored JSON.
+WHOLE_SQL = NORMALIZED_SQL.replace(" AS type_errors FROM recalls", f""" AS type_errors,
+  CASE WHEN {_DEV} THEN {_DEVICE_JSON} ELSE {_PLAIN_JSON} END AS raw_json, {", ".join(f"NULL::{t} AS {c}" for c, t in _NULLS.items())} FROM recalls""")
+
+
 def api_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.date_format("report_date", "yyyyMMdd")
     records = _view(spark, sf_dir).select("product_type", *LINE, F.try_parse_json(F.to_json(F.struct(
@@ -385,7 +411,7 @@ ENTRIES = {
         CROSS JOIN (SELECT unnest(['Drugs', 'Devices', 'Food']) AS product_type)"""),
     "src9_daily_window": (daily_orders, """SELECT o_orderdate::DATE AS day, count(*) AS n_orders FROM orders
         WHERE o_orderdate::DATE BETWEEN DATE '1996-03-01' AND DATE '1996-03-08' GROUP BY 1"""),
-    "nrm1_normalize_records": (nrm_records, on_recalls(NORMALIZED_SQL)),
+    "nrm1_normalize_records": (nrm_records, on_recalls(WHOLE_SQL)),
     "nrm5_normalize_alerts": (web_records, on_recalls(
         f"""SELECT {LINES}, 'fda_website' AS source, NULL::VARCHAR AS classification, 'Ongoing' AS status,
         'United States' AS country, coalesce(distribution_pattern, 'Unknown') AS recalling_firm, report_date, true AS markup_kept

@@ -9,10 +9,15 @@ from recallspark.functions.text import strip
 
 
 def parse_record_date(c: Column) -> Column:
-    """``yyyyMMdd`` or, failing the 8-digit shape, an ISO date in the first ten characters."""
+    """``yyyyMMdd`` or, failing the 8-digit shape, an ISO date in the first ten characters.
+
+    Texts of a fitting shape are cast, which costs a fraction of a formatter.
+    """
     text = strip(c)
-    return F.when(text.rlike(r"^\d{8}$"), F.try_to_date(text, "yyyyMMdd")).otherwise(
-        F.try_to_date(F.substring(text, 1, 10), "yyyy-M-d"))
+    iso, dash = F.substring(text, 1, 10), F.lit("-")
+    dashed = F.concat(F.substring(text, 1, 4), dash, F.substring(text, 5, 2), dash, F.substring(text, 7, 2))
+    return (F.when(text.rlike(r"^(?!0000)\d{8}$"), dashed.try_cast("date"))
+            .when(iso.rlike(r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}$"), iso.try_cast("date")))
 
 
 def parse_page_date(c: Column) -> Column:

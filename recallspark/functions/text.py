@@ -19,8 +19,13 @@ _SPACE_CHARS = "".join(chr(i) for lo, hi in (
 
 
 def squeeze(c: Column) -> Column:
-    """Collapse white-space runs to one space and trim; null becomes the empty string."""
-    return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), _SPACE + "+", " "))
+    """Collapse white-space runs to one space and trim; null becomes the empty string.
+
+    Printable ASCII text without two spaces in a row, that is, most, is only looked through.
+    """
+    text = F.coalesce(c, F.lit(""))
+    plain = ~F.contains(text, F.lit("  ")) & ~text.rlike("[^ -~]")
+    return F.trim(F.when(plain, text).otherwise(F.regexp_replace(text, _SPACE + "+", " ")))
 
 
 def strip(c: Column) -> Column:
