@@ -13,15 +13,16 @@ from recallspark.functions import rules as R
 from recallspark.functions.dates import parse_page_date, parse_record_date
 from recallspark.functions.text import squeeze
 from recallspark.operators.dedupe import dedupe, dedupe_one_source
-from recallspark.operators.merge import api_only, change_counts, merge_firms, merge_recalls, rebuild_firms
+from recallspark.operators.merge import api_only, change_counts, firm_deltas, merge_firms, merge_recalls, rebuild_firms
 from recallspark.operators.normalize import device_class, normalize
 from recallspark.operators.validate import batch_counts, quarantine, valid_rows, validate
-from recallspark.plans.ingest import run_errors, sum_runs
+from recallspark.plans.backfill import Fold, place_records
+from recallspark.plans.ingest import COUNTERS, run_errors, sum_runs
 from recallspark.schemas import RECORD_COLUMNS
 from recallspark.session import checkpoint, scratch_dir
 from recallspark.sources.landing import completeness, explode_records, in_date_range, with_results
 from checks.standin import RECALL_VIEW_SQL, recall_view as _view, table
-from recallspark.sources.store import read_table
+from recallspark.sources.store import add_firm_deltas, compact_firms, read_firms, read_table, upsert_recalls
 from recallspark.sources.webpages import infer_product_type, parse_alerts, pseudo_id
 from recallspark.sources.windows import backfill_windows, daily_window
 from recallspark.streaming.ingest import upsert_stream
@@ -340,6 +341,81 @@ def firms_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("state", F.coalesce("state", F.lit("-")))
 
 
+def firms_by_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same two batches as runs of their own, both added again, before and after the deltas are compacted."""
+    view, path = checkpoint(api_only(recall_view(spark, sf_dir))), f"{scratch_dir(spark)}/{tempfile.mktemp(prefix='firms-', dir='')}"
+    late = F.col("recall_initiation_date") >= F.lit(date(1995, 6, 1))
+    early_rows, late_rows = (firm_deltas(view.where(c), "ingest_ord") for c in (~late, late))
+    added = [add_firm_deltas(spark, path, rows, run) for rows, run in ((early_rows, "a"), (late_rows, "b"), (late_rows, "b"))]
+    compact_firms(spark, path)
+    assert [*added, add_firm_deltas(spark, path, early_rows, "a")] == [True, True, False, False]
+    return read_firms(spark, path).withColumn("state", F.coalesce("state", F.lit("-")))
+
+
+# ---- backfill of all windows as one fold -----------------------------------------------
+
+FIRST_DAY, LAST_DAY = date(1992, 1, 1), date(1998, 12, 31)
+
+
+def backfilled(spark: SparkSession, sf_dir: str) -> tuple[Fold, str]:
+    """The raw records of all months folded, and a table that holds the sixth lines already."""
+    root = f"{scratch_dir(spark)}/{tempfile.mktemp(prefix='backfill-', dir='')}"
+    seed = recall_view(spark, sf_dir).where("l_linenumber = 6").withColumns({"raw_json": F.lit("{}"), "validation_errors": F.lit(None).cast("array<string>")})
+    upsert_recalls(spark, f"{root}/recalls", dedupe_one_source(seed), datetime(1990, 1, 1))
+    records = place_records(raw_records(spark, sf_dir), R.PRODUCT_TYPES, FIRST_DAY, LAST_DAY, AS_OF)
+    return Fold(records, f"{root}/work", AS_OF), f"{root}/recalls"
+
+
+def backfill_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold, path = backfilled(spark, sf_dir)
+    counts = fold.upsert(path, NOW)
+    return spark.createDataFrame([(*key, *[row[c] for c in COUNTERS]) for key, row in counts.items()],
+                                 "product_type string, window_month date, " + ", ".join(f"{c} long" for c in COUNTERS))
+
+
+def backfill_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold, path = backfilled(spark, sf_dir)
+    fold.upsert(path, NOW)
+    return read_table(spark, path).select(
+        "recall_number", "product_type", "classification", "status", "recalling_firm", "reason_for_recall", "report_date",
+        (F.col("first_seen_at") == F.lit(NOW)).alias("is_new"), (F.col("last_updated_at") == F.lit(NOW)).alias("is_touched"))
+
+
+def backfill_undatable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = backfilled(spark, sf_dir)[0].undatable()
+    return rows.groupBy("product_type", "recall_number", F.array_join("errors", ",").alias("errors")).agg(F.count("*").alias("records"))
+
+
+_UNDATED = "(l_linenumber = 4 AND l_partkey % 5 = 0)"
+_TYPE_PLACE = "list_position(['" + "', '".join(R.PRODUCT_TYPES) + "'], product_type)"
+BACKFILL_SQL = f""", placed AS (SELECT * REPLACE (CASE WHEN report_date <= DATE '{AS_OF}' THEN report_date END AS report_date),
+    date_trunc('month', CASE WHEN NOT {_UNDATED} THEN report_date END)::DATE AS w, reason_for_recall <> '' AND l_linenumber <> 1 AS ok FROM norm
+    WHERE {_UNDATED} OR (report_date BETWEEN DATE '{FIRST_DAY}' AND DATE '{LAST_DAY}' AND NOT (year(report_date) = {AS_OF.year} AND month(report_date) > {AS_OF.month}))),
+  won AS (SELECT * EXCLUDE (d), row_number() OVER (PARTITION BY recall_number ORDER BY w, {_TYPE_PLACE}) AS nth,
+      row_number() OVER (PARTITION BY recall_number ORDER BY w DESC, {_TYPE_PLACE} DESC) AS from_last
+    FROM (SELECT *, row_number() OVER (PARTITION BY recall_number, product_type, w ORDER BY CASE WHEN d IS NULL THEN 0 ELSE 1 END,
+            CASE WHEN d IS NOT NULL THEN report_date END DESC NULLS LAST, {LINES}) AS rk
+          FROM (SELECT *, first_value(report_date) OVER (PARTITION BY recall_number, product_type, w ORDER BY {LINES}) AS d
+                FROM placed WHERE ok AND w IS NOT NULL AND recall_number <> '')) WHERE rk = 1),
+  seed AS (SELECT * FROM {one_source_sql("recalls", "l_linenumber = 6")})"""
+BACKFILL_COUNTS_SQL = BACKFILL_SQL + """ SELECT product_type, w AS window_month, records_fetched, validation_failures, ok_rows - n AS records_skipped,
+    new AS records_inserted, n - new AS records_updated FROM (
+    SELECT product_type, w, count(*) AS records_fetched, count(*) FILTER (NOT ok) AS validation_failures, count(*) FILTER (ok) AS ok_rows
+    FROM placed WHERE w IS NOT NULL GROUP BY 1, 2) LEFT JOIN (
+    SELECT product_type, w, count(*) AS n, count(*) FILTER (nth = 1 AND recall_number NOT IN (SELECT recall_number FROM seed)) AS new FROM won GROUP BY 1, 2)
+    USING (product_type, w)"""
+BACKFILL_TABLE_SQL = BACKFILL_SQL + """ SELECT coalesce(s.recall_number, f.recall_number) AS recall_number, coalesce(s.product_type, f.product_type) AS product_type,
+    CASE WHEN l.recall_number IS NULL THEN s.classification ELSE nullif(l.classification, '') END AS classification,
+    CASE WHEN l.recall_number IS NULL THEN s.status WHEN l.status = 'On-Going' THEN 'Ongoing' ELSE nullif(l.status, '') END AS status,
+    coalesce(s.recalling_firm, f.recalling_firm) AS recalling_firm, coalesce(s.reason_for_recall, f.reason_for_recall) AS reason_for_recall,
+    CASE WHEN s.recall_number IS NULL THEN f.report_date ELSE s.report_date END AS report_date,
+    s.recall_number IS NULL AS is_new, l.recall_number IS NOT NULL AS is_touched
+    FROM seed s FULL JOIN (SELECT * FROM won WHERE nth = 1) f ON s.recall_number = f.recall_number
+    LEFT JOIN (SELECT * FROM won WHERE from_last = 1) l ON l.recall_number = f.recall_number"""
+BACKFILL_UNDATABLE_SQL = BACKFILL_SQL + """ SELECT product_type, recall_number, 'undatable' AS errors, count(*) AS records
+    FROM placed WHERE w IS NULL GROUP BY 1, 2"""
+
+
 def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log rows summed to run totals."""
     return sum_runs(run_rows(spark, sf_dir))
@@ -394,6 +470,18 @@ def daily_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             .groupBy(F.col("o_orderdate").cast("date").alias("day")).agg(F.count("*").alias("n_orders")))
 
 
+FIRMS_MERGED_SQL = on_recalls(f""",
+        o AS ({_FIRM_SQL} FROM recalls WHERE source <> 'fda_website' AND recall_initiation_date < DATE '1995-06-01' GROUP BY 1),
+        n AS ({_FIRM_SQL} FROM recalls WHERE source <> 'fda_website' AND NOT recall_initiation_date < DATE '1995-06-01' GROUP BY 1)
+        SELECT coalesce(o.name, n.name) AS name, NULL::VARCHAR AS city, coalesce(o.state, n.state) AS state,
+        'United States' AS country, coalesce(o.total_recalls, 0) + coalesce(n.total_recalls, 0) AS total_recalls,
+        coalesce(o.class_i_count, 0) + coalesce(n.class_i_count, 0) AS class_i_count,
+        coalesce(o.class_ii_count, 0) + coalesce(n.class_ii_count, 0) AS class_ii_count,
+        coalesce(o.class_iii_count, 0) + coalesce(n.class_iii_count, 0) AS class_iii_count,
+        coalesce(o.first_recall_date, n.first_recall_date) AS first_recall_date,
+        CASE WHEN n.name IS NOT NULL THEN n.latest_recall_date ELSE o.latest_recall_date END AS latest_recall_date
+        FROM o FULL OUTER JOIN n ON o.name = n.name""")
+
 ENTRIES = {
     "src4_api_date_range": (api_window, on_recalls(
         f"SELECT product_type, {LINES} FROM recalls WHERE report_date BETWEEN DATE '1995-03-01' AND DATE '1996-02-29'")),
@@ -409,6 +497,9 @@ ENTRIES = {
         (SELECT count(*) FROM orders WHERE date_trunc('month', o_orderdate)::DATE = m::DATE) AS n_orders
         FROM (SELECT unnest(generate_series(DATE '1992-01-01', DATE '1998-04-01', INTERVAL 1 MONTH)) AS m)
         CROSS JOIN (SELECT unnest(['Drugs', 'Devices', 'Food']) AS product_type)"""),
+    "src8_backfill_run": (backfill_counts, on_normalized(BACKFILL_COUNTS_SQL)),
+    "src8_backfill_table": (backfill_table, on_normalized(BACKFILL_TABLE_SQL)),
+    "src4_undatable": (backfill_undatable, on_normalized(BACKFILL_UNDATABLE_SQL)),
     "src9_daily_window": (daily_orders, """SELECT o_orderdate::DATE AS day, count(*) AS n_orders FROM orders
         WHERE o_orderdate::DATE BETWEEN DATE '1996-03-01' AND DATE '1996-03-08' GROUP BY 1"""),
     "nrm1_normalize_records": (nrm_records, on_recalls(WHOLE_SQL)),
@@ -457,17 +548,8 @@ ENTRIES = {
     "ing2_change_counts": (lambda s, d: change_counts(*halves(s, d)), on_recalls(
         f"""SELECT count(*) FILTER (o.recall_number IS NULL) AS records_inserted, count(o.recall_number) AS records_updated
         FROM {_BATCH} n LEFT JOIN {_STORED} o ON o.recall_number = n.recall_number""")),
-    "ing3_merge_firms": (firms_merged, on_recalls(f""",
-        o AS ({_FIRM_SQL} FROM recalls WHERE source <> 'fda_website' AND recall_initiation_date < DATE '1995-06-01' GROUP BY 1),
-        n AS ({_FIRM_SQL} FROM recalls WHERE source <> 'fda_website' AND NOT recall_initiation_date < DATE '1995-06-01' GROUP BY 1)
-        SELECT coalesce(o.name, n.name) AS name, NULL::VARCHAR AS city, coalesce(o.state, n.state) AS state,
-        'United States' AS country, coalesce(o.total_recalls, 0) + coalesce(n.total_recalls, 0) AS total_recalls,
-        coalesce(o.class_i_count, 0) + coalesce(n.class_i_count, 0) AS class_i_count,
-        coalesce(o.class_ii_count, 0) + coalesce(n.class_ii_count, 0) AS class_ii_count,
-        coalesce(o.class_iii_count, 0) + coalesce(n.class_iii_count, 0) AS class_iii_count,
-        coalesce(o.first_recall_date, n.first_recall_date) AS first_recall_date,
-        CASE WHEN n.name IS NOT NULL THEN n.latest_recall_date ELSE o.latest_recall_date END AS latest_recall_date
-        FROM o FULL OUTER JOIN n ON o.name = n.name""")),
+    "ing3_merge_firms": (firms_merged, FIRMS_MERGED_SQL),
+    "ing3_firm_deltas": (firms_by_delta, FIRMS_MERGED_SQL),
     "ing5_rebuild_firms": (firms, on_recalls(f"{_FIRM_SQL} FROM recalls WHERE source <> 'fda_website' GROUP BY 1")),
     "ing6_run_totals": (run_counters, """
         SELECT sum(user_id)::BIGINT AS records_fetched, sum(user_id)::BIGINT AS records_inserted, 0::BIGINT AS records_updated,

@@ -226,7 +226,7 @@ def test_one_endpoint_failing_leaves_the_others(spark, tmp_path):
     totals = job.run_daily(date(2026, 1, 12)).first()
     assert totals.records_inserted == 1 and totals.n_errors == 2
     assert job.run_backfill(date(2026, 1, 20), 2026, 2026, ["Drugs"]) == 1
-    assert read_table(spark, f"{tmp_path}/store/firms", FIRMS).first().total_recalls == 2   # counted again, as documented
+    assert job.firms().first().total_recalls == 2   # counted again, as documented
 
 
 def test_stream_replay_inserts_nothing(spark, tmp_path):
@@ -385,3 +385,47 @@ def test_backfill_parses_landing_once(spark, tmp_path, monkeypatch):
     stored = {r.recall_number: r.status for r in read_table(spark, job.recalls_path).collect()}
     assert len(stored) == 9 and stored["D-1-0"] == "Terminated"
     assert read_table(spark, f"{tmp_path}/store/firms", FIRMS).first().total_recalls == 9
+
+
+def test_backfill_fold_equals_window_by_window(spark, tmp_path):
+    rng, names = random.Random(5), ["Acme", "Bolt", "  Acme ", "Core"]
+
+    def record(kind, i):
+        day = rng.choice([f"2025{rng.randint(1, 3):02d}{rng.randint(10, 28)}", f"2025-0{rng.randint(1, 3)}-1{rng.randint(0, 9)}"])
+        day = rng.choice([day] * 8 + ["20990101", None, "soon"])
+        base = {"reason_for_recall": rng.choice(["R", "R2", ""]), "recalling_firm": rng.choice(names), "state": rng.choice(["CA", "NY", 7])}
+        key = f"K-{rng.randint(1, 6)}"  # shared by the endpoints
+        if kind == "Devices":
+            return {**base, "res_event_number": key, "event_date_posted": day, "recall_status": f"s{i}"}
+        return {**base, "recall_number": key, "report_date": day, "status": f"s{i}"}
+
+    for kind in ("Drugs", "Devices"):
+        for page in range(2):
+            land(tmp_path / "landing", kind, f"p{page}.json", [record(kind, 20 * page + i) for i in range(20)])
+    (tmp_path / "landing" / "Drugs" / "p9.json").write_text("{not json")
+    now, as_of = datetime(2025, 4, 1), date(2025, 3, 20)
+    one = RecallIngest(spark, str(tmp_path / "landing"), str(tmp_path / "one"), "incremental")
+    each = RecallIngest(spark, str(tmp_path / "landing"), str(tmp_path / "each"), "incremental")
+    kinds = ["Drugs", "Devices", "Food"]
+    total = one.run_backfill(as_of, 2025, 2025, kinds, now)
+    rows = []
+    for month, end in ((1, 31), (2, 28), (3, 31)):
+        rows += [each.run_endpoint(kind, date(2025, month, 1), date(2025, month, end), "backfill", as_of, now) for kind in kinds[:2]]
+    assert total == sum(r["records_inserted"] + r["records_updated"] for r in rows) > 0
+
+    def held(job):
+        return sorted(map(str, (tuple(r) for r in read_table(spark, job.recalls_path).drop("report_month").collect())))
+    assert held(one) == held(each)
+    logs = {(r.endpoint, r.date_range_start): r for r in run_log(spark, f"{tmp_path}/one/ingestion_logs").collect()}
+    for r in rows:
+        mine, broken = logs[r["endpoint"], r["date_range_start"]], r["endpoint"] == "Drugs"
+        assert [mine.records_fetched, mine.records_inserted, mine.records_updated, mine.records_skipped, mine.validation_failures] == [
+            r["records_fetched"], r["records_inserted"], r["records_updated"], r["records_skipped"], r["validation_failures"] - broken]
+    assert {r.status for r in logs.values() if r.endpoint == "Food"} == {"failed"} and len(logs) == 9 + 2
+    assert logs["Drugs", None].validation_failures - 1 == logs["Drugs", None].records_fetched > 0 < logs["Devices", None].validation_failures
+    lost = [r for r in spark.read.parquet(f"{tmp_path}/one/quarantine").collect() if "undatable" in r.errors or "corrupt_page" in r.errors]
+    assert len(lost) == logs["Drugs", None].validation_failures + logs["Devices", None].validation_failures
+    assert sorted(map(tuple, one.firms().collect())) == sorted(map(tuple, each.firms().collect()))
+    before = one.firms().collect()
+    store.compact_firms(spark, f"{tmp_path}/one/firms")
+    assert sorted(map(tuple, one.firms().collect())) == sorted(map(tuple, before))
