@@ -128,13 +128,18 @@ def infer(batch: list[str], table: np.ndarray) -> np.ndarray:
         starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
         of = np.repeat(np.arange(len(which)), sizes)
         pi = allowed / allowed.sum(axis=1, keepdims=True)
-        for _ in range(ROUNDS):
-            weight = own * pi[of]
+        going, rows, at, count, row_of = np.arange(len(which)), own, starts, sizes, of
+        for _ in range(ROUNDS):  # a text stops when its own shares do, whatever the others of the batch
+            weight = rows * pi[going][row_of]
             weight /= np.maximum(weight.sum(axis=1, keepdims=True), 1e-300)
-            new = _runs(weight, starts, sizes) / sizes[:, None]
-            change, pi = np.abs(new - pi).max(), new
-            if change < TOLERANCE:
+            new = _runs(weight, at, count) / count[:, None]
+            moving = np.abs(new - pi[going]).max(axis=1, initial=0) >= TOLERANCE
+            pi[going] = new
+            if not moving.any():
                 break
+            if not moving.all():
+                rows, going, count = rows[np.repeat(moving, count)], going[moving], count[moving]
+                at, row_of = np.concatenate(([0], np.cumsum(count)[:-1])), np.repeat(np.arange(len(going)), count)
         fitted = _runs(np.log(np.maximum((own * pi[of]).sum(axis=1), 1e-300)), starts, sizes)
         return pi, fitted
 
@@ -157,36 +162,44 @@ def infer(batch: list[str], table: np.ndarray) -> np.ndarray:
     return shares
 
 
-def identify(docs: DataFrame, languages: list[str], table: np.ndarray, id_col: str = "doc_id", text_col: str = "text",
-             carry: bool = False) -> DataFrame:
-    """``doc_id, lang_pred, score, languages`` of every whole text; with ``carry`` the input row, too, as struct ``row``.
+FOUND = "lang_pred string, score double, languages map<string,double>"
+
+
+def language_of(docs: DataFrame, text: Column, languages: list[str], table: np.ndarray) -> Column:
+    """A struct ``lang_pred, score, languages`` for a column of texts of ``docs``; only the texts go through Python.
 
     ``lang_pred`` has the largest share (the first by name of equal ones), ``score`` is that share
     and ``languages`` maps the chosen languages to theirs. A text that is null, empty or without
-    letters (or any, if the model knows no language) is ``und`` with score 0. Nothing but the text
-    is used; no shuffle; the model is BUCKETS x languages numbers, sent to every task.
+    letters (or any, if the model knows no language) is ``und`` with score 0. Very long texts are
+    worked on one at a time. The model is BUCKETS x languages numbers, sent to every task.
     """
     model = docs.sparkSession.sparkContext.broadcast((languages, table))
     kind = pa.map_(pa.string(), pa.float64())
-    names_out = ["doc_id", "lang_pred", "score", "languages"] + ["row"] * carry
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf(FOUND)
+    def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         names, likelihoods = model.value
-        for batch in pieces(batches, limit=1_000_000):
-            shares = infer(texts(batch), likelihoods)
-            top = shares.argmax(axis=1) if names else np.zeros(len(shares), dtype=int)
-            score = shares.max(axis=1) if names else np.zeros(len(shares))
-            columns = [batch.column(0).cast(pa.int64()),
-                       pa.array([names[i] if s > 0 else UNDETERMINED for i, s in zip(top, score)], pa.string()),
-                       pa.array(np.minimum(score, 1.0)),
-                       pa.array([[(names[i], float(row[i])) for i in np.flatnonzero(row)] for row in shares], kind)]
-            yield pa.RecordBatch.from_arrays(columns + ([batch.column(2)] if carry else []), names=names_out)
-
-    plain = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), *[F.struct("*").alias("row")] * carry)
-    schema = "doc_id long, lang_pred string, score double, languages map<string,double>"
-    if carry:
-        schema += f", row {docs.schema.simpleString()}"
-    return plain.mapInArrow(run, schema)
+        for column in batches:
+            parts = []
+            for batch in pieces(iter([pa.RecordBatch.from_arrays([column], names=["text"])]), limit=1_000_000):
+                shares = infer(texts(batch), likelihoods)
+                top = shares.argmax(axis=1) if names else np.zeros(len(shares), dtype=int)
+                score = shares.max(axis=1) if names else np.zeros(len(shares))
+                parts.append((pa.array([names[i] if s > 0 else UNDETERMINED for i, s in zip(top, score)], pa.string()), pa.array(np.minimum(score, 1.0)),
+                              pa.array([[(names[i], float(row[i])) for i in np.flatnonzero(row)] for row in shares], kind)))
+            columns = [pa.concat_arrays(c) for c in zip(*parts)] if parts else [pa.array([], k) for k in (pa.string(), pa.float64(), kind)]
+            yield pa.StructArray.from_arrays(columns, names=["lang_pred", "score", "languages"])
+
+    return found(text)
+
+
+def identify(docs: DataFrame, languages: list[str], table: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, lang_pred, score, languages`` (see ``language_of``) of every whole text, one row per row; no shuffle.
+
+    Nothing but the text is used. Ids may be null or repeated; other columns, whatever their names, are ignored.
+    """
+    plain = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    return plain.withColumn("found", language_of(plain, F.col("text"), languages, table)).select("doc_id", "found.*")
 
 
 def remainder(doc_id: Column, modulus: int) -> Column:

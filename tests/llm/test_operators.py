@@ -55,14 +55,23 @@ def test_language_held_out_accuracy(spark, small):
 def test_language_odd_rows(odd, none):
     languages, table = language_mixture.train(odd)
     assert languages == ["de", "en", "fr"]  # the texts of two of them have no letters
-    got = language_mixture.identify(odd, languages, table, carry=True).collect()
-    assert len(got) == len(ODD) and {r.lang_pred for r in got if not any(c.isalpha() for c in r.row.text or "")} == {"und"}
-    assert all(r.lang_pred == "en" and r.score > 0.9 for r in got if len(r.row.text or "") > 1000)
+    got = odd.withColumn("found", language_mixture.language_of(odd, F.col("text"), languages, table)).select("text", "found.*").collect()
+    assert len(got) == language_mixture.identify(odd, languages, table).count() == len(ODD)
+    assert {r.lang_pred for r in got if not any(c.isalpha() for c in r.text or "")} == {"und"}
+    assert all(r.lang_pred == "en" and r.score > 0.9 for r in got if len(r.text or "") > 1000)
     assert language_mixture.train(none)[0] == []
     assert language_mixture.identify(none, languages, table).count() == 0
     assert {r.lang_pred for r in language_mixture.identify(odd, *language_mixture.train(none)).collect()} == {"und"}
 
 
+def test_language_of_a_text_does_not_hang_on_its_neighbours(small):
+    languages, table = language_mixture.train(small)
+    some = [r.text for r in small.limit(150).collect()]
+    mixed = [a + " " + b for a, b in zip(some, some[1:])] + ["", "12 34"]
+    together = language_mixture.infer(mixed, table)
+    assert all((language_mixture.infer([t], table)[0] == row).all() for t, row in zip(mixed, together))
+
+
 # 2 token files ------------------------------------------------------------------------------------
 def token_brute(rows):
     tokenizer, start, out = word_encoder(WORDS).tokenizer, 0, []
