@@ -7,14 +7,14 @@ unchanged. What a stage decides holds for the rows that the stage before it kept
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recallspark.llm.byte_bpe import encode_documents
 from recallspark.llm.decontaminate import find_leaks
 from recallspark.llm.exact_dedup import exact_dedup
 from recallspark.llm.jaccard_join import jaccard_components
-from recallspark.llm.language_mixture import UNDETERMINED, identify, train
+from recallspark.llm.language_mixture import UNDETERMINED, language_of, train
 from recallspark.llm.storage import stored
 
 #: Keys that may be broadcast (some ten bytes each) to drop their rows; beyond, the join shuffles.
@@ -37,8 +37,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     languages, likelihoods = train(docs)
     if not languages:
         return docs
-    found = identify(docs, languages, likelihoods, carry=True)
-    return found.filter(F.col("lang_pred") != UNDETERMINED).select("row.*").select(docs.columns)
+    found = docs.withColumn("_found", language_of(docs, F.col("text"), languages, likelihoods))
+    return found.filter(F.col("_found.lang_pred") != UNDETERMINED).select(docs.columns)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,15 +58,51 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return kept.unionByName(nameless, allowMissingColumns=False).select("row.*")
 
 
+def _drop(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """Rows of ``docs`` without those whose id and text ``dropped`` holds."""
+    keys = ["doc_id", "text_sha256"]
+    rows = docs.select("doc_id", _digest().alias("text_sha256"), F.struct("*").alias("row"))
+    return _without(rows, dropped, keys).select("row.*")
+
+
+def _digest() -> Column:
+    return F.sha2(F.coalesce("text", F.lit("")), 256)
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by five-word shingles (0.75 or more), the one with the smallest id stays."""
-    found = jaccard_components(docs)
-    return _without(docs, found.filter("doc_id <> component_id"), ["doc_id"])
+    """Of each group of documents linked by five-word shingles (0.75 or more), the one with the smallest id stays.
+
+    Where an id has several texts, those not linked with a smaller id stay: the rows of such ids are
+    told apart by numbers of their own. Rows without an id stay.
+    """
+    several = stored(docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"))
+    if not several.limit(1).count():
+        found = jaccard_components(docs)
+        return _without(docs, found.filter("doc_id <> component_id"), ["doc_id"])
+    named = docs.select("doc_id", "text", _digest().alias("text_sha256")).dropDuplicates(["doc_id", "text_sha256"])
+    # numbers in order of id, then text; rows without id come last, but still link others
+    order = [F.col("doc_id").asc_nulls_last(), F.col("text_sha256")]
+    ranked = stored(named.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("rank", F.monotonically_increasing_id()))
+    found = jaccard_components(ranked, id_col="rank")
+    gone = found.filter("rank <> component_id").select("rank")
+    return _drop(docs, ranked.join(gone, "rank", "left_semi"))
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold 0.75 or more of the five-word shingles of a benchmark item."""
-    return _without(docs, find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")), ["doc_id"])
+    """Drops documents that hold 0.75 or more of the five-word shingles of a benchmark item.
+
+    Where an id has several texts, only those that hold the item go. Rows without an id stay.
+    """
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = stored(find_leaks(docs, benchmark).select("doc_id").distinct())
+    suspects = docs.join(F.broadcast(found) if found.count() <= BROADCAST_ROWS else found, "doc_id", "left_semi")
+    several = suspects.groupBy("doc_id").agg(F.countDistinct(_digest()).alias("n")).filter("n > 1")
+    if not several.limit(1).count():
+        return _without(docs, found, ["doc_id"])
+    alone = stored(suspects.select("doc_id", "text", _digest().alias("text_sha256")).dropDuplicates(["doc_id", "text_sha256"])
+                   .withColumn("number", F.monotonically_increasing_id()))
+    gone = find_leaks(alone.select(F.col("number").alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("number")).distinct()
+    return _drop(docs, alone.join(gone, "number", "left_semi"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
