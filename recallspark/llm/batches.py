@@ -24,6 +24,7 @@ def pieces(batches: Iterator[pa.RecordBatch], text_col: str = "text", limit: int
             total += int(size)
         if start < batch.num_rows:
             yield batch.slice(start)
+    pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
 
 def texts(batch: pa.RecordBatch, text_col: str = "text") -> list[str]:

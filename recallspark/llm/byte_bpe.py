@@ -21,7 +21,7 @@ from recallspark.llm.batches import lists, pieces, texts
 
 SHORT = 64
 #: Text runs in each of the two generations of runs whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 _NONE = np.int64(1) << 60
 #: Two white-space characters in a row: then a text is cut by the pattern alone.
 _GAP = regex.compile(r"[\s\x1c-\x1f\x85]{2}")
@@ -49,6 +49,9 @@ class BytePairs:
         self.of_byte = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], dtype=np.int64)
         if (self.of_byte < 0).any():
             raise ValueError(f"{path} lacks single bytes, so not every text can be encoded")
+        self.forget()
+
+    def forget(self) -> None:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -217,6 +220,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = byte_pairs(path, pattern)
+        coder.forget()  # what the worker learned in another task goes, so that memory does not add up over stages
         for batch in pieces(batches):
             encoded = coder.encode(texts(batch))
             offsets = np.cumsum([0] + [len(e) for e in encoded])
@@ -224,6 +228,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
             if decoded:
                 columns.append(pa.array([coder.decode(e.tolist()) for e in encoded], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
+        coder.forget()
 
     kinds = "doc_id long, ids array<int>" + ", decoded binary" * decoded
     return _plain(docs, id_col, text_col).mapInArrow(run, kinds)
