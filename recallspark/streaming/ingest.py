@@ -14,11 +14,12 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from recallspark.operators.dedupe import dedupe
+from recallspark.operators.dedupe import dedupe, dedupe_one_source
+from recallspark.operators.merge import api_only, firm_deltas
 from recallspark.operators.normalize import normalize
 from recallspark.operators.validate import quarantine, valid_rows, validate
 from recallspark.sources.landing import PAGE_TEXT, corrupt_pages, explode_records, page_columns
-from recallspark.sources.store import drop_folder, upsert_recalls, write_table
+from recallspark.sources.store import add_firm_deltas, drop_folder, upsert_recalls, write_table
 
 
 def page_stream(spark: SparkSession, landing: str, files_per_batch: int = 1000) -> DataFrame:
@@ -43,11 +44,14 @@ def upsert_stream(records: DataFrame, table_path: str, checkpoint: str,
                   prepare: Callable[[DataFrame], DataFrame], as_of: date, now: datetime | None = None,
                   on_batch: Callable[[int, int, int], None] | None = None,
                   broken: Callable[[DataFrame], DataFrame] | None = None,
-                  on_failed: Callable[[int, int], None] | None = None) -> StreamingQuery:
+                  on_failed: Callable[[int, int], None] | None = None,
+                  firms_path: str | None = None, one_source: bool = False) -> StreamingQuery:
     """Run until the files present at the start are in the table, then stop. ``prepare`` turns a
     micro-batch into record columns with ``ingest_ord``, ``broken`` into quarantine rows of what
     gives no record; ``on_batch`` receives (batch id, inserted, updated), ``on_failed`` (batch id,
-    failed rows and broken pages)."""
+    failed rows and broken pages). With ``firms_path`` the API rows of a batch are added to the firm deltas there,
+    under the checkpoint and batch id, so that a repeated batch counts once. ``one_source`` says that records come
+    from one source only, whose winners need no full order."""
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         staged = f"{checkpoint.rstrip('/')}-staged/{batch_id}"
@@ -62,9 +66,12 @@ def upsert_stream(records: DataFrame, table_path: str, checkpoint: str,
             write_table(failed, kept, "overwrite")
         else:
             drop_folder(spark, kept)
-        winners = dedupe(valid_rows(validated))
+        winners = (dedupe_one_source if one_source else dedupe)(valid_rows(validated))
         winners.write.mode("overwrite").parquet(f"{staged}/batch")
-        counts = upsert_recalls(spark, table_path, spark.read.parquet(f"{staged}/batch"), now or datetime.now(timezone.utc).replace(tzinfo=None))
+        winners = spark.read.parquet(f"{staged}/batch")
+        counts = upsert_recalls(spark, table_path, winners, now or datetime.now(timezone.utc).replace(tzinfo=None))
+        if firms_path is not None:
+            add_firm_deltas(spark, firms_path, firm_deltas(api_only(winners), "ingest_ord"), f"{checkpoint.rstrip('/')}:{batch_id}")
         drop_folder(spark, staged)
         if on_batch:
             on_batch(batch_id, *counts)
@@ -77,7 +84,7 @@ def upsert_stream(records: DataFrame, table_path: str, checkpoint: str,
 
 def ingest_landing(spark: SparkSession, landing: str, table_path: str, checkpoint: str, as_of: date,
                    now: datetime | None = None, on_batch: Callable[[int, int, int], None] | None = None,
-                   on_failed: Callable[[int, int], None] | None = None) -> None:
+                   on_failed: Callable[[int, int], None] | None = None, firms_path: str | None = None) -> None:
     """One pass over what has arrived since the last one."""
     upsert_stream(page_stream(spark, landing), table_path, checkpoint, lambda pages: normalize(explode_records(pages)), as_of, now,
-                  on_batch, corrupt_pages, on_failed).awaitTermination()
+                  on_batch, corrupt_pages, on_failed, firms_path, one_source=True).awaitTermination()

@@ -429,3 +429,19 @@ def test_backfill_fold_equals_window_by_window(spark, tmp_path):
     before = one.firms().collect()
     store.compact_firms(spark, f"{tmp_path}/one/firms")
     assert sorted(map(tuple, one.firms().collect())) == sorted(map(tuple, before))
+
+
+def test_stream_counts_firms_once(spark, tmp_path):
+    landing, firms = tmp_path / "landing", str(tmp_path / "firms")
+    land(landing, "Drugs", "p0.json", [DRUG, DRUG])
+    land(landing, "Food", "p0.json", [{**FOOD, "recalling_firm": "Other"}])
+
+    def run():
+        ingest_landing(spark, str(landing), str(tmp_path / "recalls"), str(tmp_path / "checkpoint"), TODAY, datetime(2026, 6, 1), firms_path=firms)
+        return {r.name: r.total_recalls for r in store.read_firms(spark, firms).collect()}
+    assert run() == {"Acme Labs": 1, "Other": 1}
+    for name in ("0", ".0.crc"):  # as if the job had died before the batch was committed
+        (tmp_path / "checkpoint" / "commits" / name).unlink(missing_ok=True)
+    assert run() == {"Acme Labs": 1, "Other": 1}
+    land(landing, "Drugs", "p1.json", [{**DRUG, "recall_number": "D-2"}])
+    assert run() == {"Acme Labs": 2, "Other": 1}
