@@ -301,10 +301,15 @@ def halves(spark: SparkSession, sf_dir: str):
     return stored, batch
 
 
+_KEPT = ["source", "product_type", "reason_for_recall", "product_description", "product_quantity", "distribution_pattern",
+         "recall_initiation_date", "state", "country", "generic_name", "route"]
+
+
 def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored, batch = halves(spark, sf_dir)
-    return merge_recalls(stored, batch, NOW).select("recall_number", "status", "classification", "recalling_firm", "report_date",
-                                                    (F.col("first_seen_at") == F.col("last_updated_at")).alias("never_updated"))
+    return merge_recalls(stored, batch, NOW).select("recall_number", "status", "classification", "recalling_firm", "report_date", *_KEPT, "is_validated", "raw_json",
+                                                    (F.col("first_seen_at") == F.col("last_updated_at")).alias("never_updated"),
+                                                    (F.col("first_seen_at") == F.lit(NOW)).alias("is_new"))
 
 
 _FOLD = """list_reduce(list({o: [l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice], w: source = 'fda_website', d: report_date}
@@ -543,7 +548,9 @@ ENTRIES = {
         CASE WHEN n.recall_number IS NOT NULL THEN n.classification ELSE o.classification END AS classification,
         CASE WHEN o.recall_number IS NOT NULL THEN o.recalling_firm ELSE 'Changed' END AS recalling_firm,
         CASE WHEN o.recall_number IS NOT NULL THEN o.report_date ELSE n.report_date END AS report_date,
-        o.recall_number IS NULL OR n.recall_number IS NULL AS never_updated
+        o.recall_number IS NULL OR n.recall_number IS NULL AS never_updated, o.recall_number IS NULL AS is_new, '{{}}' AS raw_json,
+        CASE WHEN n.recall_number IS NOT NULL THEN n.is_validated ELSE o.is_validated END AS is_validated,
+        {", ".join(f"CASE WHEN o.recall_number IS NOT NULL THEN o.{c} ELSE n.{c} END AS {c}" for c in _KEPT)}
         FROM {_STORED} o FULL OUTER JOIN {_BATCH} n ON o.recall_number = n.recall_number""")),
     "ing2_change_counts": (lambda s, d: change_counts(*halves(s, d)), on_recalls(
         f"""SELECT count(*) FILTER (o.recall_number IS NULL) AS records_inserted, count(o.recall_number) AS records_updated
