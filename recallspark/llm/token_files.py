@@ -7,7 +7,6 @@ and the simple-8b words, escapes and block offsets of all their ids.
 
 from __future__ import annotations
 
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -17,26 +16,31 @@ from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recallspark.llm import simple8b
-from recallspark.llm.batches import pieces, texts
+from recallspark.llm.batches import pieces
 from recallspark.session import scratch_dir
 
 SEGMENT = ("shard int, segment int, first_id long, n_ids long, doc_ids array<bigint>, doc_tokens array<bigint>, "
            "offsets binary, words binary, escaped binary")
+#: Bytes of text that make up a segment (one longer text is a segment by itself).
+SEGMENT_BYTES = 4_000_000
 #: Words in each of the two generations of words whose ids a worker remembers.
 REMEMBERED = 700_000
-_RUN = re.compile(r"[^ \t\n\x0b\x0c\r]+")
+#: Characters of those words (a word may be as long as a text).
+REMEMBERED_CHARS = 16_000_000
 
 
 class WordEncoder:
-    """Ids of a text, for tokenizers that drop white space and let no token cross it.
+    """Ids of texts, for tokenizers that drop white space and let no token cross it.
 
-    Each distinct word goes through the tokenizers library once; a closing full stop or comma after
-    letters is a token run of its own there, so such a word is put together from its parts.
+    Texts are cut into words by Arrow, each distinct word of a batch is looked up once, and the ids are
+    gathered by index. Each distinct word goes through the tokenizers library once; a closing full stop
+    or comma after letters is a token run of its own there, so such a word is put together from its parts.
     """
 
     def __init__(self, path: str):
@@ -45,53 +49,83 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
+        self.held = 0
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, words: list[str]) -> None:
         """Remember the ids of new words: letters with punctuation behind them as two parts, ASCII letters in lower case."""
-        parts, wanted = [], set()
+        known, older = self.known, self.older
+        parts, single, other = [], set(), set()
         for w in words:
+            ids = older.get(w)
+            if ids is not None:
+                known[w] = ids
+                continue
             body = w.rstrip(punctuation)
-            tail = w[len(body):]
-            if body.isalpha():
-                plain = body.lower() if body.isascii() else body
-                wanted.add(plain)
-                if tail:
-                    wanted.add(tail)
-                if plain != w:
-                    parts.append((w, plain, tail))
-            else:
-                wanted.add(w)
-        wanted.difference_update(self.known)
-        again = wanted.intersection(self.older)
-        self.known.update((w, self.older[w]) for w in again)
-        single, other = [], []
-        for w in wanted.difference(again):
-            (single if w.isalpha() and (w.isascii() or w.lower().isalpha() and is_normalized("NFC", w)) else other).append(w)
-        # a word of letters alone is one token run, whose last token is a word end: many go through together
-        for start in range(0, len(single), 1000):
-            some = single[start:start + 1000]
+            if not body.isalpha():
+                other.add(w)
+                continue
+            plain = body.lower() if body.isascii() else body
+            if plain not in known:
+                # a word of letters alone is one token run, whose last token is a word end: many go through together
+                (single if plain.isascii() or plain.lower().isalpha() and is_normalized("NFC", plain) else other).add(plain)
+            if plain != w:
+                tail = w[len(body):]
+                if tail and tail not in known:
+                    other.add(tail)
+                parts.append((w, plain, tail))
+        alone = list(single)
+        for start in range(0, len(alone), 4000):
+            some = alone[start:start + 4000]
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
             ends = np.flatnonzero(self.ends_word[ids]) + 1
             if len(ends) != len(some):
-                other.extend(some)
+                other.update(some)
                 continue
             data, cuts = ids.tobytes(), (4 * ends).tolist()
-            self.known.update((w, data[x:y]) for w, x, y in zip(some, [0, *cuts], cuts))
-        for word, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
-            self.known[word] = np.array(found.ids, dtype="<u4").tobytes()
-        known = self.known
-        known.update([(w, known[body] + known[tail] if tail else known[body]) for w, body, tail in parts])
-
-    def encode(self, batch: list[str]) -> list[np.ndarray]:
+            known.update(zip(some, [data[x:y] for x, y in zip([0, *cuts], cuts)]))
+        alone = list(other)
+        for word, found in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
+            known[word] = np.array(found.ids, dtype="<u4").tobytes()
+        for w, body, tail in parts:
+            known[w] = known[body] + known[tail] if tail else known[body]
+        self.held += sum(map(len, words))
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (null: none) one behind the other, and the end of each text's ids among them."""
+        column = pc.fill_null(column, "")
         # the tokenizer folds case; special tokens are matched before that
-        runs = [_RUN.findall(t.lower() if t.isascii() and "<|" not in t else t) for t in batch]
-        if len(self.known) > REMEMBERED:
-            self.known, self.older = {}, self.known
-        self._learn(set().union(*runs).difference(self.known))
-        known = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(known, words)), dtype="<u4") for words in runs]
+        plain = pc.and_(pc.string_is_ascii(column), pc.invert(pc.match_substring(column, "<|")))
+        words = pc.ascii_split_whitespace(pc.if_else(plain, pc.ascii_lower(column), column))
+        coded = words.flatten().dictionary_encode()
+        if len(self.known) > REMEMBERED or self.held > REMEMBERED_CHARS:
+            self.known, self.older, self.held = {"": b""}, self.known, 0
+        distinct, known = coded.dictionary.to_numpy(zero_copy_only=False), self.known
+        found = list(map(known.get, distinct))
+        fresh = [i for i, ids in enumerate(found) if ids is None]
+        self._learn([distinct[i] for i in fresh])
+        for i in fresh:
+            found[i] = known[distinct[i]]
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        pool, starts = np.frombuffer(b"".join(found), dtype="<u4"), np.cumsum(sizes) - sizes
+        index = coded.indices.to_numpy()
+        ends = np.cumsum(sizes[index])
+        cuts = words.offsets.to_numpy()[1:]
+        return _gathered(pool, starts, sizes, index), np.concatenate(([0], ends))[cuts]
+
+
+def _gathered(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray, index: np.ndarray, block: int = 500_000) -> np.ndarray:
+    """``pool[starts[i]:starts[i] + sizes[i]]`` of all ``i`` in ``index``, a block of them at a time."""
+    out = [pool[:0]]
+    for at in range(0, len(index), block):
+        some = index[at:at + block]
+        lengths = sizes[some]
+        shift = starts[some] - (np.cumsum(lengths) - lengths)
+        places = np.repeat(shift, lengths)
+        places += np.arange(len(places))
+        out.append(pool[places])
+    return np.concatenate(out)
 
 
 @lru_cache(maxsize=2)
@@ -110,11 +144,10 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
     """
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, shard, segment, first = word_encoder(tokenizer_path), TaskContext.get().partitionId(), 0, 0
-        for batch in pieces(batches):
-            encoded = encoder.encode(texts(batch))
-            counts = [len(e) + 1 for e in encoded]
-            end = np.array([end_id], dtype="<u4")
-            ids = np.concatenate([part for e in encoded for part in (e, end)])
+        for batch in pieces(batches, limit=SEGMENT_BYTES):
+            found, ends = encoder.encode(batch.column(1))
+            counts = (np.diff(ends, prepend=0) + 1).tolist()
+            ids = np.insert(found, ends, end_id)
             words, escaped, offsets = simple8b.encode(ids)
             columns = [[shard], [segment], [first], [len(ids)], [batch.column(0).to_pylist()], [counts],
                        [offsets.tobytes()], [words.tobytes()], [escaped.tobytes()]]

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -13,7 +14,7 @@ from recallspark.llm import katz, language_mixture, licences, personal_data, sim
 from recallspark.llm.byte_bpe import BytePairs, byte_pairs
 from recallspark.llm.jaccard_join import bitmap, folded, links, overlap_bound
 from recallspark.llm.storage import pack, unpack
-from recallspark.llm.token_files import word_encoder
+from recallspark.llm.token_files import _gathered, word_encoder
 from recallspark.llm.word_sets import shingle_sets, word_hashes
 
 P = pytest.importorskip("public_tokenizers")
@@ -71,7 +72,17 @@ def test_word_tokens_equal_the_library(monkeypatch):
              "the. the, x y. é. 3. ß ẞ", *[f"newword{chr(97 + i)} Again{chr(97 + i)}." for i in range(20)]]
     for _ in range(2):
         for t in texts:
-            assert encoder.encode([t])[0].tolist() == encoder.tokenizer.encode(t, add_special_tokens=False).ids
+            assert encoder.encode(pa.array([t]))[0].tolist() == encoder.tokenizer.encode(t, add_special_tokens=False).ids
+    expected = [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in [None, *texts]]
+    ids, ends = encoder.encode(pa.array([None, *texts]))
+    assert [part.tolist() for part in np.split(ids, ends[:-1])] == expected and ends[-1] == len(ids)
+
+
+def test_ids_are_gathered_in_blocks():
+    pool, sizes = np.arange(6, dtype="<u4"), np.array([0, 1, 2, 3])
+    index = np.array([3, 0, 1, 2, 2, 0, 3])
+    for block in (1, 3, 100):
+        assert _gathered(pool, np.cumsum(sizes) - sizes, sizes, index, block).tolist() == [3, 4, 5, 0, 1, 2, 1, 2, 3, 4, 5]
 
 
 def brute_words(text):
