@@ -7,6 +7,7 @@ import math
 import os
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -113,6 +114,31 @@ def test_leaks(spark, none, odd):
     assert find_leaks(none, items).count() == find_leaks(odd, items.filter("1 = 0")).count() == 0
 
 
+def test_short_items_inside_long_documents(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "x y short famous benchmark item z " + "w " * 9000), (2, "Item"), (3, "short famous  item benchmark"),
+                                  (4, "famous benchmark"), (5, "q " * 3000 + "items ITEM"), (6, None), (7, "a b c d e f")],
+                                 "doc_id long, text string")
+    items = spark.createDataFrame([(1, "Short famous benchmark item"), (2, "item"), (3, "famous benchmark"), (4, "d e f"), (5, "a b c d e"),
+                                   (6, "item"), (6, "famous benchmark"), (7, "")], "item_id long, text string")
+    expected = {(1, 1, 1, 1), (1, 2, 1, 1), (1, 3, 1, 1), (2, 2, 1, 1), (3, 2, 1, 1), (4, 3, 1, 1), (5, 2, 1, 1), (7, 4, 1, 1),
+                (7, 5, 1, 1), (1, 6, 2, 2)}
+    assert {tuple(r) for r in find_leaks(docs, items).collect()} == expected
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    items.write.parquet(str(tmp_path / "benchmark.parquet"))
+    query, sql = (table["op3_decontaminate"] for table in (entry.queries(), entry.oracle_sql()))
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    assert {tuple(r) for r in query(spark, str(tmp_path)).collect()} == set(con.execute(sql).fetchall()) == expected
+
+
+def test_a_passage_that_all_items_share(spark):
+    passage = " ".join(f"p{i}" for i in range(40))
+    docs = spark.createDataFrame([(i, f"{passage} own{i} " * 3) for i in range(30)], "doc_id long, text string")
+    items = spark.createDataFrame([(i, f"{passage} item{i}") for i in range(30)], "item_id long, text string")
+    assert {tuple(r) for r in find_leaks(docs, items).collect()} == {(d, i, 36, 37) for d in range(30) for i in range(30)}
+
+
 def test_leaks_plan_is_native(spark):
     plan = entry.queries()["op3_decontaminate"](spark, SMALL)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
