@@ -258,19 +258,29 @@ ENTRIES = {
             for t in R.PRODUCT_TYPES) + " FROM (SELECT *, " + ", ".join(
             f"count(*) FILTER (product_type = '{t}') OVER () AS n_{t}" for t in R.PRODUCT_TYPES)
         + " FROM cat) GROUP BY 1")),
-    "cor4_chi_square": (on_cat(lambda d: X.chi_square_reason_vs_severity(d).select("statistic", "dof", "n")),
+    "cor4_chi_square": (on_cat(X.chi_square_reason_vs_severity),
                         on_categorised(f"""
         , o AS (SELECT reason_category AS a, classification AS b, count(*)::DOUBLE AS n FROM cat
                 WHERE classification IS NOT NULL GROUP BY ALL),
         ra AS (SELECT a, sum(n) AS r FROM o GROUP BY a), cb AS (SELECT b, sum(n) AS c FROM o GROUP BY b),
         t AS (SELECT sum(n) AS t FROM o),
         full_cells AS (SELECT coalesce(o.n, 0) AS n, r * c / t AS e FROM ra CROSS JOIN cb CROSS JOIN t
-                       LEFT JOIN o ON o.a = ra.a AND o.b = cb.b)
-        SELECT {r_even('sum((n - e) * (n - e) / e)', 3)} AS statistic,
-        ((SELECT count(*) FROM ra) - 1)::INTEGER * ((SELECT count(*) FROM cb) - 1)::INTEGER AS dof,
-        sum(n)::BIGINT AS n FROM full_cells""")),
-    "cor5_pearson": (on_score(lambda d: X.pearson_reach_vs_score(d).select("r", "n")), on_scored(
-        f"SELECT {r_even('corr(reach, risk_score)', 3)} AS r, count(*) AS n FROM scored")),
+                       LEFT JOIN o ON o.a = ra.a AND o.b = cb.b),
+        tested AS (SELECT sum((n - e) * (n - e) / e) AS x,
+          ((SELECT count(*) FROM ra) - 1)::INTEGER * ((SELECT count(*) FROM cb) - 1)::INTEGER AS dof, sum(n)::BIGINT AS n FROM full_cells),
+        -- the tail of an even number of degrees of freedom is a finite sum
+        tail AS (SELECT CASE WHEN dof % 2 = 0 THEN (SELECT sum(exp(-x / 2 + k * ln(x / 2) - lgamma(k + 1)))
+                   FROM (SELECT unnest(range(dof // 2)) AS k)) END AS p, * FROM tested)
+        SELECT {r_even('x', 3)} AS statistic, {r_even('p', 4)} AS p_value, dof, n,
+        CASE WHEN p < 0.05 THEN 'statistically significant association (p<0.05)'
+             ELSE 'no significant association (p≥0.05)' END AS interpretation FROM tail""")),
+    "cor5_pearson": (on_score(X.pearson_reach_vs_score), on_scored(
+        f"""SELECT {r_even('r', 3)} AS r,
+        -- both sides of the t distribution: its density beyond t against all of it, by midpoints
+        {r_even('sum(exp(-(n - 1) / 2.0 * ln(1 + (t + u) * (t + u) / (n - 2)))) / sum(exp(-(n - 1) / 2.0 * ln(1 + u * u / (n - 2))))', 4)}
+        AS p_value, n FROM (SELECT *, abs(r) * sqrt((n - 2) / (1 - r * r)) AS t
+          FROM (SELECT corr(reach, risk_score) AS r, count(*) AS n FROM scored))
+        CROSS JOIN (SELECT (unnest(range(40000)) + 0.5::DOUBLE) / 1000 AS u) GROUP BY r, n""")),
 
     "mon1_latest_runs": (on_log(lambda d: M.latest_runs(d).select("run_id", "started_at", "endpoint", "status", "duration_seconds")),
                          f"WITH {RUNS} SELECT run_id, started_at, endpoint, status, duration_seconds FROM runs"),

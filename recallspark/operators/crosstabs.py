@@ -117,17 +117,31 @@ def chi_square_reason_vs_severity(df: DataFrame) -> DataFrame:
     return chi_square_of_cells(cells)
 
 
-def pearson_reach_vs_score(df: DataFrame) -> DataFrame:
-    """Correlation of state reach and risk score; one row, null r and p under three rows.
+def pearson_of_cells(cells: DataFrame) -> DataFrame:
+    """Correlation of counted (reach, cents, rows) cells; one row, null r and p under three pairs.
 
-    The quotient is written out: the built-in ``corr`` raises on a constant column in ANSI mode.
+    The moments are whole numbers, summed as decimals in one aggregate: the same in any task order, and a
+    constant column has a spread of exactly zero (null r). The quotient is written out, since the built-in
+    ``corr`` raises on a constant column in ANSI mode.
     """
-    pairs = with_reach(df).select(F.col("state_reach").cast("double").alias("x"), F.col("risk_score").alias("y"))
-    both = F.col("x").isNotNull() & F.col("y").isNotNull()
-    x, y = F.when(both, F.col("x")), F.when(both, F.col("y"))
-    sums = pairs.agg(F.count_if(both).alias("n"), F.covar_pop("x", "y").alias("_xy"),
-                     F.stddev_pop(x).alias("_x"), F.stddev_pop(y).alias("_y"))
-    r = F.when(F.col("n") >= 3, F.try_divide(F.col("_xy"), F.col("_x") * F.col("_y")))
+    pairs = cells.where(F.col("reach").isNotNull() & F.col("cents").isNotNull())
+    x, y, n = (F.col(c).cast(f"decimal({digits},0)") for c, digits in (("reach", 9), ("cents", 9), ("rows", 19)))
+    sums = pairs.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n"), *[
+        F.coalesce(F.sum(value * n), F.lit(0)).cast("decimal(38,0)").alias(name)
+        for name, value in {"_x": x, "_y": y, "_xy": x * y, "_xx": x * x, "_yy": y * y}.items()])
+
+    def spread(ab: str, a: str, b: str) -> Column:
+        return F.col("n").cast("decimal(19,0)") * F.col(ab) - F.col(a) * F.col(b)
+
+    xy, xx, yy = (spread(*names).cast("double") for names in (("_xy", "_x", "_y"), ("_xx", "_x", "_x"), ("_yy", "_y", "_y")))
+    r = F.when(F.col("n") >= 3, F.try_divide(xy, F.sqrt(xx) * F.sqrt(yy)))
     return (sums.select(r.alias("_r"), "n").withColumn("_p", pearson_p("_r", "n"))
             .select(round_even(F.col("_r"), 3).alias("r"), round_even(F.col("_p"), 4).alias("p_value"),
                     F.when(F.col("n") >= 3, F.col("n")).alias("n")))
+
+
+def pearson_reach_vs_score(df: DataFrame) -> DataFrame:
+    """Correlation of state reach and risk score, over the counted pairs of the two."""
+    cents = F.rint(F.col("risk_score") * 100).cast("long")
+    return pearson_of_cells(with_reach(df).groupBy(F.col("state_reach").alias("reach"), cents.alias("cents"))
+                            .agg(F.count("*").alias("rows")))

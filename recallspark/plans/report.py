@@ -17,10 +17,9 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from recallspark.functions import rules as R
 from recallspark.functions.dates import month_of, season_of, season_order
 from recallspark.functions.numbers import percent, round_even
-from recallspark.functions.pvalues import pearson_p
 from recallspark.functions.scoring import reach_bucket
 from recallspark.operators.categorize import categorize
-from recallspark.operators.crosstabs import chi_square_of_cells, unclassified_as_label
+from recallspark.operators.crosstabs import chi_square_of_cells, pearson_of_cells, unclassified_as_label
 from recallspark.operators.ranking import category_priority, manufacturer_priority, pick_firm_column
 from recallspark.operators.risk import score
 from recallspark.operators.temporal import spikes_of_months, trend_of_months
@@ -148,29 +147,13 @@ def build_report(recalls: DataFrame, as_of: date, top_n_manufacturers: int = 10,
         "reason_vs_severity_test": chi_square_of_cells(
             part("by_reason_and_class").where(F.col("reason_category").isNotNull() & F.col("classification").isNotNull())
             .select("reason_category", "classification", F.col("rows").alias("n"))),
-        "reach_vs_risk_correlation": _weighted_pearson(part("by_reach_and_score")),
+        "reach_vs_risk_correlation": pearson_of_cells(part("by_reach_and_score").select(
+            "reach", F.rint(F.col("risk_score") * 100).cast("long").alias("cents"), "rows")),
     }
     summary = _summary(base, ids["by_firm" if firm == "recalling_firm" else "by_recalling_firm"])
     return Report(summary, sections, _insights(summary, sections), as_of)
 
 
-def _weighted_pearson(cells: DataFrame) -> DataFrame:
-    """Correlation from (reach, risk_score, rows) cells. The un-keyed window is over distinct
-    pairs of two small ranges (state counts and hundredths up to 100), not over recalls. Whole
-    hundredths keep the mean of a constant column exact, so its deviation is exactly zero."""
-    everything = W.partitionBy()
-    x, y, n = F.col("reach").cast("double"), F.rint(F.col("risk_score") * 100), F.col("rows").cast("double")
-    count = F.sum(n).over(everything)
-    centred = cells.select((x - F.sum(x * n).over(everything) / count).alias("x"),
-                           (y - F.sum(y * n).over(everything) / count).alias("y"), "rows")
-    sums = centred.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n"), *[
-        F.sum(F.col(a) * F.col(b) * F.col("rows")).alias(f"_{a}{b}") for a, b in ("xy", "xx", "yy")])
-    r = F.when(F.col("n") >= 3, F.try_divide("_xy", F.sqrt("_xx") * F.sqrt("_yy")))
-    return (sums.select(r.alias("_r"), "n").withColumn("_p", pearson_p("_r", "n"))
-            .select(round_even(F.col("_r"), 3).alias("r"), round_even(F.col("_p"), 4).alias("p_value"),
-                    F.when(F.col("n") >= 3, F.col("n")).alias("n")))
-
-
 def _summary(base: DataFrame, firm_set: int) -> DataFrame:
     """The KPI row: one aggregate over the roll-up rows."""
     of_type = F.col("set_id") == _set_id(_SETS["by_product_type"])
