@@ -123,6 +123,13 @@ def summary_sql(column: str) -> str:
       {pct(class_count('Class I'), 'count(recall_number)')} AS class_i_pct FROM scored GROUP BY {column}""")
 
 
+CORRELATION = f"""SELECT {r_even('r', 3)} AS r,
+    -- both sides of the t distribution: its density beyond t against all of it, by midpoints
+    {r_even('sum(exp(-(n - 1) / 2.0 * ln(1 + (t + u) * (t + u) / (n - 2)))) / sum(exp(-(n - 1) / 2.0 * ln(1 + u * u / (n - 2))))', 4)}
+    AS p_value, n FROM (SELECT *, abs(r) * sqrt((n - 2) / (1 - r * r)) AS t
+    FROM (SELECT corr(reach, risk_score) AS r, count(*) AS n FROM scored))
+    CROSS JOIN (SELECT (unnest(range(40000)) + 0.5::DOUBLE) / 1000 AS u) GROUP BY r, n"""
+
 ENTRIES = {
     "src1_load_recalls": (src1, on_recalls(
         f"""SELECT {_SCAN} FROM recalls WHERE product_type = 'Drugs'
@@ -274,13 +281,7 @@ ENTRIES = {
         SELECT {r_even('x', 3)} AS statistic, {r_even('p', 4)} AS p_value, dof, n,
         CASE WHEN p < 0.05 THEN 'statistically significant association (p<0.05)'
              ELSE 'no significant association (p≥0.05)' END AS interpretation FROM tail""")),
-    "cor5_pearson": (on_score(X.pearson_reach_vs_score), on_scored(
-        f"""SELECT {r_even('r', 3)} AS r,
-        -- both sides of the t distribution: its density beyond t against all of it, by midpoints
-        {r_even('sum(exp(-(n - 1) / 2.0 * ln(1 + (t + u) * (t + u) / (n - 2)))) / sum(exp(-(n - 1) / 2.0 * ln(1 + u * u / (n - 2))))', 4)}
-        AS p_value, n FROM (SELECT *, abs(r) * sqrt((n - 2) / (1 - r * r)) AS t
-          FROM (SELECT corr(reach, risk_score) AS r, count(*) AS n FROM scored))
-        CROSS JOIN (SELECT (unnest(range(40000)) + 0.5::DOUBLE) / 1000 AS u) GROUP BY r, n""")),
+    "cor5_pearson": (on_score(X.pearson_reach_vs_score), on_scored(CORRELATION)),
 
     "mon1_latest_runs": (on_log(lambda d: M.latest_runs(d).select("run_id", "started_at", "endpoint", "status", "duration_seconds")),
                          f"WITH {RUNS} SELECT run_id, started_at, endpoint, status, duration_seconds FROM runs"),

@@ -6,13 +6,15 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from checks.analytics import recall_view, rounded
+from checks.analytics import CORRELATION, SEASON, recall_view, rounded
 from checks.oracle_parts import MEAN_SCORE, class_count, on_scored, pct, r_even
+from recallspark.functions.rules import PRODUCT_TYPES
 from recallspark.plans.report import build_report, generate_report, long_sections, report_lines
 
 AS_OF = date(1998, 12, 31)
 ROLL_UPS = ["by_product_type", "by_classification", "by_product_category", "by_reason_category",
-            "risk_tier_distribution", "repeat_offenders", "monthly_trend"]
+            "risk_tier_distribution", "repeat_offenders", "monthly_trend", "by_therapeutic_area", "seasonal_profile",
+            "state_distribution", "severity_vs_reach", "reach_vs_risk_correlation"]
 
 
 def full(spark, sf_dir):
@@ -55,7 +57,17 @@ SECTIONS_SQL = on_scored(" UNION ALL ".join(
        _rows("repeat_offenders", "recalling_firm", {"class_i_recalls": class_count("Class I"), "total_recalls": "count(*)"},
              f"FROM scored WHERE recalling_firm IS NOT NULL GROUP BY recalling_firm HAVING {class_count('Class I')} >= 2"),
        _rows("monthly_trend", "concat(date_trunc('month', report_date)::DATE, ' / ', product_type)", {"count": "count(*)"},
-             "FROM scored WHERE report_date IS NOT NULL GROUP BY date_trunc('month', report_date), product_type")]))
+             "FROM scored WHERE report_date IS NOT NULL GROUP BY date_trunc('month', report_date), product_type"),
+       _rows("by_therapeutic_area", "therapeutic_area", _SUMS, "FROM scored WHERE product_type = 'Drugs' GROUP BY therapeutic_area"),
+       _rows("seasonal_profile", "concat(season, ' / ', product_type)", {"count": "count(*)"},
+             f"FROM (SELECT {SEASON} AS season, product_type FROM scored WHERE report_date IS NOT NULL) GROUP BY season, product_type"),
+       _rows("state_distribution", "state", {**{t: f"count(*) FILTER (product_type = '{t}')" for t in PRODUCT_TYPES}, "total": "count(*)"},
+             "FROM scored WHERE length(state) = 2 GROUP BY state"),
+       _rows("severity_vs_reach", "coalesce(classification, 'Unclassified')",
+             {"Unknown": "count(*) FILTER (reach = 0)", "1 state": "count(*) FILTER (reach = 1)",
+              "2-5 states": "count(*) FILTER (reach BETWEEN 2 AND 5)", "6-15 states": "count(*) FILTER (reach BETWEEN 6 AND 15)",
+              "Nationwide": "count(*) FILTER (reach BETWEEN 16 AND 60)"}, "FROM scored WHERE reach <= 60 GROUP BY classification"),
+       _rows("reach_vs_risk_correlation", "'all'", {"r": "r", "p_value": "p_value", "n": "n"}, f"FROM ({CORRELATION})")]))
 
 ENTRIES = {
     "rpt1_summary": (summary, summary_sql("true")),
