@@ -181,7 +181,7 @@ def _summary(base: DataFrame, firm_set: int) -> DataFrame:
 # ---- insights -----------------------------------------------------------------------
 
 # fixed values: insight sentences (printf patterns), in their order
-_SAY = {
+INSIGHTS = {
     1: "Most common classification is **%s** with %s recalls (%.0f%% of total).",
     2: "**%s** accounts for the largest share with %s recalls (%s%% Class I).",
     3: "Highest-priority manufacturer: **%s** with %d recalls (priority score %.1f).",
@@ -200,7 +200,7 @@ def _thousands(c: Column) -> Column:
 def _insights(summary: DataFrame, sections: dict[str, DataFrame]) -> DataFrame:
     """(ord, insight): each is built from the first row or the count of a small section."""
     def line(df: DataFrame, number: int, *values, text: str | None = None) -> DataFrame:
-        return df.select(F.lit(number).alias("ord"), F.format_string(text or _SAY[number], *values).alias("insight"))
+        return df.select(F.lit(number).alias("ord"), F.format_string(text or INSIGHTS[number], *values).alias("insight"))
 
     def first(name: str) -> DataFrame:
         return sections[name].limit(1)
@@ -217,8 +217,8 @@ def _insights(summary: DataFrame, sections: dict[str, DataFrame]) -> DataFrame:
         line(first("top_manufacturers"), 3, F.col("manufacturer"), F.col("total_recalls"), F.col("priority_score")),
         line(sections["repeat_offenders"].agg(F.count("*").alias("n")).where(F.col("n") > 0), 4, F.col("n")),
         line(sections["spikes"].agg(F.count_if("is_spike").alias("n")).where(F.col("n") > 0), 5, F.col("n")),
-        line(trend.where((F.col("n_months") >= 6) & up), 6, F.col("slope"), text=_SAY[6][0]),
-        line(trend.where((F.col("n_months") >= 6) & down), 6, F.col("slope"), text=_SAY[6][1]),
+        line(trend.where((F.col("n_months") >= 6) & up), 6, F.col("slope"), text=INSIGHTS[6][0]),
+        line(trend.where((F.col("n_months") >= 6) & down), 6, F.col("slope"), text=INSIGHTS[6][1]),
         line(first("by_therapeutic_area").where(F.col("therapeutic_area") != R.OTHER), 7,
              F.col("therapeutic_area"), F.col("total_recalls")),
         line(sections["risk_tier_distribution"].where((F.col("risk_tier") == "Critical") & (F.col("count") > 0)), 8,
