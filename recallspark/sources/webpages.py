@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from recallspark.functions import rules as R
 from recallspark.functions.dates import parse_page_date
-from recallspark.functions.text import blank_to_null, contains_any, markup_text
+from recallspark.functions.text import blank_to_null, contains_any, markup_text, once, settled
 
 def _attribute(name: str, value: str) -> str:
     """An attribute with a value in double, single or no quotes; ``value`` is a pattern for some of it."""
@@ -57,14 +57,14 @@ def _first(text: Column, pattern: str, group: int = 1) -> Column:
 
 
 def infer_product_type(description: Column, brand: Column) -> Column:
-    text = F.lower(F.concat_ws(" ", F.coalesce(description, F.lit("")), F.coalesce(brand, F.lit(""))))
-    return (F.when(contains_any(text, R.WEB_DRUG_WORDS), "Drugs")
-            .when(contains_any(text, R.WEB_DEVICE_WORDS), "Devices").otherwise("Food"))
+    lowered = F.lower(F.concat_ws(" ", F.coalesce(description, F.lit("")), F.coalesce(brand, F.lit(""))))
+    return once(lowered, lambda text: F.when(contains_any(text, R.WEB_DRUG_WORDS), "Drugs")
+                .when(contains_any(text, R.WEB_DEVICE_WORDS), "Devices").otherwise("Food"))
 
 
 def pseudo_id(day_text: Column, company: Column, product: Column) -> Column:
     joined = F.concat(*[F.coalesce(c, F.lit("")) for c in (day_text, company, product)])
-    return F.concat(F.lit("WEB-"), F.substring(F.regexp_replace(joined, "[^a-zA-Z0-9]", ""), 1, 40))
+    return F.concat(F.lit("WEB-"), F.substring(F.regexp_replace(joined, "[^a-zA-Z0-9]+", ""), 1, 40))
 
 
 def _body_rows(area: Column) -> Column:
@@ -82,7 +82,8 @@ def _own_markup(piece: Column) -> Column:
 
 
 def _href(link: Column) -> Column:
-    return F.concat(*[_first(link, _HREF, group) for group in (1, 2, 3)])
+    """The one group with text; the others are empty."""
+    return once(link, lambda a: F.coalesce(*[blank_to_null(_first(a, _HREF, group)) for group in (1, 2)], _first(a, _HREF, 3)))
 
 
 def alert_rows(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -92,32 +93,35 @@ def alert_rows(pages: DataFrame, html: str = "html") -> DataFrame:
     pieces = F.split(_first(page, _LIST_AREA, 0), _LIST_ROW)
     list_rows = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), _own_markup)
     main_rows = _body_rows(_first(page, _MAIN, 0))
-    rows = F.when(F.size(table_rows) > 0, table_rows).when(F.size(list_rows) > 0, list_rows).otherwise(main_rows)
+    listed = once(list_rows, lambda rows: F.when(F.size(rows) > 0, rows).otherwise(main_rows))
+    rows = once(table_rows, lambda rows: F.when(F.size(rows) > 0, rows).otherwise(listed))
     keep = [c for c in pages.columns if c != html]
-    return pages.select(*keep, F.posexplode(rows).alias("position", "row_html"))
+    # an inner explode would bring a filter on the size of the rows, which finds them again
+    return pages.select(*keep, F.posexplode_outer(rows).alias("position", "row_html")).where(F.col("position").isNotNull())
 
 
 def parse_alerts(pages: DataFrame, html: str = "html") -> DataFrame:
     """Alerts of every page in the web-entry columns; list rows without a title link are dropped."""
     keep = [c for c in pages.columns if c != html]
     row = F.col("row_html")
-    fielded = alert_rows(pages, html).withColumn("_cells", _all(row, _CELL, 1)).withColumn(
-        "_table", F.size("_cells") >= 3).withColumn("_title_link", _first(row, _TITLE))
+    is_table = F.col("_table")
+    fielded = alert_rows(pages, html).withColumn("_cells", settled(_all(row, _CELL, 1))).withColumn(
+        "_table", F.size("_cells") >= 3).withColumn("_title_link", settled(F.when(~is_table, _first(row, _TITLE))))
 
-    def cell(n: int) -> Column:
-        return F.coalesce(markup_text(F.get("_cells", F.lit(n))), F.lit(""))
+    def text_of(n: int, mark: Column, missing: Column | None = None) -> Column:
+        """Text of a table row's cell or of a list row's mark."""
+        text = markup_text(F.when(is_table, F.get("_cells", F.lit(n))).otherwise(mark))
+        return once(text, lambda t: F.when(is_table, F.coalesce(t, F.lit(""))).otherwise(t if missing is None else F.coalesce(t, missing)))
 
     date_mark = F.coalesce(blank_to_null(_first(row, _DATE_FIELD, 2)), _first(row, _TIME))
     company_mark = blank_to_null(_first(row, _COMPANY_FIELD, 2))
-    is_table, title = F.col("_table"), markup_text(F.col("_title_link"))
+    title = F.col("_title_link")
     link = F.when(is_table, _first(F.get("_cells", F.lit(1)), _ANCHOR)).otherwise(F.col("_title_link"))
     parts = fielded.where(is_table | (F.col("_title_link") != "")).select(
         *keep, "position", row.alias("raw_html"), is_table.alias("_table"),
-        F.when(is_table, cell(0)).otherwise(markup_text(date_mark)).alias("_day"),
-        F.when(is_table, cell(1)).otherwise(title).alias("_product"),
-        F.when(is_table, cell(2)).otherwise(title).alias("_reason"),
-        F.when(is_table, cell(3)).otherwise(F.coalesce(markup_text(company_mark), F.lit(NO_COMPANY))).alias("_company"),
-        F.when(is_table, blank_to_null(_href(link))).otherwise(_href(link)).alias("detail_url"))
+        text_of(0, date_mark).alias("_day"), text_of(1, title).alias("_product"), text_of(2, title).alias("_reason"),
+        text_of(3, company_mark, F.lit(NO_COMPANY)).alias("_company"),
+        once(_href(link), lambda url: F.when(is_table, blank_to_null(url)).otherwise(url)).alias("detail_url"))
     day = parse_page_date(F.col("_day"))
     filled = F.col("_table")
     return parts.select(
