@@ -1,19 +1,21 @@
 """What is computed once a row or moved once: seen in the plans, with the results beside them."""
 
 import re
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from recallspark.functions import rules as R
 from recallspark.functions.dates import parse_page_date, parse_record_date
-from recallspark.functions.text import first_match, markup_text, state_reach
+from checks.ingestion import streamed
+from recallspark.functions.text import first_match, markup_text, state_reach, strip, strip_column
 from recallspark.operators import dedupe as D
 from recallspark.operators.merge import merge_recalls
 from recallspark.operators.normalize import normalize
 from recallspark.plans.backfill import place_records
 from recallspark.sources.landing import explode_records, in_date_range, undatable, with_results
+from recallspark.sources.store import read_table
 from recallspark.sources.webpages import infer_product_type, parse_alerts
 
 FIRST, LAST, AS_OF = date(2024, 1, 1), date(2024, 12, 31), date(2025, 1, 1)
@@ -125,3 +127,40 @@ def test_records_move_once_and_by_key(spark, monkeypatch, hot):
         assert not re.search(r"hashpartitioning\(recall_number#\d+, ingest_ord", plan(merged))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def _nodes(node, name: str) -> list:
+    children = node.children()
+    below = [n for i in range(children.size()) for n in _nodes(children.apply(i), name)]
+    return ([node] if node.nodeName() == name else []) + below
+
+
+def test_nothing_is_joined_with_an_empty_table(spark, tmp_path):
+    stored = read_table(spark, str(tmp_path / "none")).drop("report_month")
+    batch = spark.createDataFrame([("R1", "Ongoing")], "recall_number string, status string").repartition(2)
+    merged = merge_recalls(stored, batch, datetime(2024, 1, 1))
+    assert not _nodes(merged._jdf.queryExecution().optimizedPlan(), "Join")
+    assert [(r.recall_number, r.status, r.created_at, r.city) for r in merged.select("recall_number", "status", "created_at", "city").collect()] == [
+        ("R1", "Ongoing", datetime(2024, 1, 1), None)]
+
+
+def test_a_column_is_stripped_like_any_text(spark):
+    texts = ["a", " a", "a ", "", " ", None, "é", "é\u2003", "\u00a0a", "a\x1c", "\x7f", "~a~", "a\x7f ", "\x00a", "a b", "a\u3000"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(1)
+    assert all(r.a == r.b for r in df.select(strip_column("t").alias("a"), strip(F.col("t")).alias("b")).collect())
+
+
+@pytest.mark.parametrize("files", [1, 2])
+def test_a_stream_reads_a_folder_of_lines(spark, tmp_path, files):
+    def put(name: str, rows: list, schema: str) -> None:
+        spark.createDataFrame(rows, schema).repartition(files).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    day = datetime(1996, 5, 1)
+    put("lineitem", [(o, p, 1, n, 1.0, 2.0, 0.0, 0.0, "R", "O", day) for o, p, n in ((1, 1, 1), (1, 2, 2), (2, 1, 1))],
+        """l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double,
+        l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp""")
+    put("orders", [(1, day), (2, day)], "o_orderkey long, o_orderdate timestamp")
+    put("part", [(1, "p one", 1), (2, "p two", 2)], "p_partkey long, p_name string, p_size int")
+    put("supplier", [(1, "Firm", 1)], "s_suppkey long, s_name string, s_nationkey int")
+    put("nation", [(1, "N")], "n_nationkey int, n_name string")
+    assert sorted(r.recall_number for r in streamed(spark, str(tmp_path)).collect()) == ["R-1-1", "R-1-2", "R-2-1"]
