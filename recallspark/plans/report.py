@@ -1,9 +1,10 @@
 """The executive report: one pass over the recalls, then small tables.
 
 Every section is a roll-up of the same scored rows, so the rows are categorised, scored and
-aggregated once with grouping sets. Each input row is reduced on the map side for all groupings
-together; what is shuffled and kept is one row per firm, category, month and so on. The result is
-checkpointed in the shared folder and all sections, insights and lines read that.
+aggregated once with grouping sets. Each input row is reduced on the map side for a few fine
+groupings together; the groupings of the sections are rolled up from those. What is kept is one row
+per firm, category, month and so on. The result is checkpointed in the shared folder and all
+sections, insights and lines read that.
 """
 
 from __future__ import annotations
@@ -37,6 +38,10 @@ _SETS = {
     "by_reach": ["classification", "bucket"], "by_reason_and_class": ["reason_category", "classification"],
     "by_reach_and_score": ["reach", "risk_score"],
 }
+# each row is counted once for each of these; the sets above that lie within one are summed up from it
+_FINE = [["product_type", "classification", "therapeutic_area", "product_category", "reason_category"],
+         ["product_type", "month", "state"], ["classification", "risk_tier", "bucket", "reach", "risk_score"],
+         ["firm"], ["recalling_firm"]]
 
 
 def _set_id(members: list[str]) -> int:
@@ -45,7 +50,7 @@ def _set_id(members: list[str]) -> int:
 
 
 def report_base(recalls: DataFrame, firm: str) -> DataFrame:
-    """All groupings of the report in one aggregate over the scored rows."""
+    """All groupings of the report, by way of a few fine ones in one aggregate over the scored rows."""
     scored = score(categorize(recalls), keep_reach=True)
     day = F.col("report_date").try_cast("date")
     state = F.col("state") if "state" in recalls.columns else F.lit(None).cast("string")
@@ -56,17 +61,29 @@ def report_base(recalls: DataFrame, firm: str) -> DataFrame:
         reach_bucket(F.col("state_reach")).alias("bucket"), F.col("state_reach").alias("reach"), "risk_score",
         day.alias("_day"), F.rint(F.col("risk_score") * 100).cast("long").alias("_cents"))
     used = _SETS if firm != "recalling_firm" else {k: v for k, v in _SETS.items() if k != "by_recalling_firm"}
+    fine = {i: [_set_id(members) for members in used.values() if next(f for f in _FINE if set(members) <= set(f)) is names]
+            for i, names in ((_set_id(f), f) for f in _FINE)}
+    fine = {i: ids for i, ids in fine.items() if ids}
 
     def classified(label: str) -> Column:
         return F.count_if(F.col("_class") == label)
 
-    return (rows.withColumn("_class", F.col("classification")).withColumn("_score", F.col("risk_score"))
-            .groupingSets([[F.col(d) for d in members] for members in used.values()], *[F.col(d) for d in _DIMENSIONS])
-            .agg(F.grouping_id().alias("set_id"), F.count("recall_number").alias("total_recalls"),
-                 F.count("*").alias("rows"), classified("Class I").alias("class_i"),
-                 classified("Class II").alias("class_ii"), classified("Class III").alias("class_iii"),
-                 F.sum("_cents").alias("cents"), F.max("_score").alias("max_risk_score"),
-                 F.min("_day").alias("first_day"), F.max("_day").alias("last_day")))
+    counted = (rows.withColumn("_class", F.col("classification")).withColumn("_score", F.col("risk_score"))
+               .groupingSets([[F.col(d) for d in names] for names in _FINE if _set_id(names) in fine], *[F.col(d) for d in _DIMENSIONS])
+               .agg(F.grouping_id().alias("_fine"), F.count("recall_number").alias("total_recalls"),
+                    F.count("*").alias("rows"), classified("Class I").alias("class_i"),
+                    classified("Class II").alias("class_ii"), classified("Class III").alias("class_iii"),
+                    F.sum("_cents").alias("cents"), F.max("_score").alias("max_risk_score"),
+                    F.min("_day").alias("first_day"), F.max("_day").alias("last_day")))
+    into = F
+    for i, ids in fine.items():
+        into = into.when(F.col("_fine") == i, F.array(*[F.lit(x).cast("long") for x in ids]))
+    sets = counted.withColumn("set_id", F.explode(into))
+    members = {d: [_set_id(m) for m in used.values() if d in m] for d in _DIMENSIONS}
+    keyed = sets.withColumns({d: F.when(F.col("set_id").isin(ids), F.col(d)) for d, ids in members.items()})
+    return keyed.groupBy(*_DIMENSIONS, "set_id").agg(
+        *[F.sum(c).alias(c) for c in ("total_recalls", "rows", "class_i", "class_ii", "class_iii", "cents")],
+        F.max("max_risk_score").alias("max_risk_score"), F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"))
 
 
 @dataclass

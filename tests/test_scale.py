@@ -14,6 +14,7 @@ from recallspark.operators import dedupe as D
 from recallspark.operators.merge import merge_recalls
 from recallspark.operators.normalize import normalize
 from recallspark.plans.backfill import place_records
+from recallspark.plans.report import report_base
 from recallspark.sources.landing import explode_records, in_date_range, undatable, with_results
 from recallspark.sources.store import read_table
 from recallspark.sources.webpages import infer_product_type, parse_alerts
@@ -135,6 +136,19 @@ def _nodes(node, name: str) -> list:
     return ([node] if node.nodeName() == name else []) + below
 
 
+def test_the_report_counts_a_row_for_a_few_groupings(spark):
+    rows = [(f"R{i}", ("Drugs", "Food")[i % 2], ("Class I", None)[i % 3 == 0], f"firm {i % 4}", "undeclared milk", date(2024, 1 + i % 3, 1),
+             ("CA", None)[i % 5 == 0], "CA, NY", "12 units", "Ongoing") for i in range(30)]
+    recalls = spark.createDataFrame(rows, """recall_number string, product_type string, classification string, recalling_firm string, reason_for_recall string,
+        report_date date, state string, distribution_pattern string, product_quantity string, status string""")
+    base = report_base(recalls, "recalling_firm")
+    assert [e.projections().size() for e in _nodes(base._jdf.queryExecution().optimizedPlan(), "Expand")] == [4]
+    sets = {r.set_id: r for r in base.groupBy("set_id").agg(F.sum("rows").alias("rows"), F.sum("class_i").alias("i"), F.count("*").alias("n")).collect()}
+    assert len(sets) == 12 and {r["rows"] for r in sets.values()} == {30} and {r.i for r in sets.values()} == {20}
+    assert sorted((r.product_type, r.n) for r in base.where("month IS NOT NULL").groupBy("product_type").agg(F.sum("rows").alias("n")).collect()) == [
+        ("Drugs", 15), ("Food", 15)]
+
+
 def test_nothing_is_joined_with_an_empty_table(spark, tmp_path):
     stored = read_table(spark, str(tmp_path / "none")).drop("report_month")
     batch = spark.createDataFrame([("R1", "Ongoing")], "recall_number string, status string").repartition(2)
