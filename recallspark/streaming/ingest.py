@@ -15,9 +15,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from recallspark.operators.dedupe import dedupe, dedupe_one_source
+from recallspark.operators.marks import ROW, mark_rows, numbered, with_marks
 from recallspark.operators.merge import api_only, firm_deltas
 from recallspark.operators.normalize import normalize
 from recallspark.operators.validate import quarantine, valid_rows, validate
+from recallspark.schemas import RECALLS
 from recallspark.sources.landing import PAGE_TEXT, corrupt_pages, explode_records, page_columns
 from recallspark.sources.store import add_firm_deltas, drop_folder, upsert_recalls, write_table
 
@@ -55,7 +57,10 @@ def upsert_stream(records: DataFrame, table_path: str, checkpoint: str,
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         staged = f"{checkpoint.rstrip('/')}-staged/{batch_id}"
-        validate(prepare(batch), as_of).write.mode("overwrite").parquet(f"{staged}/validated")
+        checked = validate(prepare(batch), as_of)
+        # only what the table, the firms and the quarantine need is staged
+        checked = checked.select(*[c for c in checked.columns if c in RECALLS.names or c in ("errors", "ingest_ord")])
+        write_table(numbered(checked), f"{staged}/validated", "overwrite")
         validated = spark.read.parquet(f"{staged}/validated")
         failed = quarantine(validated).select(F.lit(None).cast("string").alias("file"), "recall_number", "errors", "raw_json")
         if broken is not None:
@@ -66,9 +71,12 @@ def upsert_stream(records: DataFrame, table_path: str, checkpoint: str,
             write_table(failed, kept, "overwrite")
         else:
             drop_folder(spark, kept)
-        winners = (dedupe_one_source if one_source else dedupe)(valid_rows(validated))
-        winners.write.mode("overwrite").parquet(f"{staged}/batch")
-        winners = spark.read.parquet(f"{staged}/batch")
+        # narrow rows travel; the records stay where they are, with a mark on those that won
+        narrow = valid_rows(validated).select("recall_number", "source", "report_date", "ingest_ord", ROW)
+        won = (dedupe_one_source if one_source else dedupe)(narrow)
+        write_table(mark_rows(won, won=F.lit(True)), f"{staged}/marks", "overwrite")
+        marks = spark.read.parquet(f"{staged}/marks")
+        winners = with_marks(valid_rows(validated), marks, validated.count()).where("won").drop("won", ROW)
         counts = upsert_recalls(spark, table_path, winners, now or datetime.now(timezone.utc).replace(tzinfo=None))
         if firms_path is not None:
             add_firm_deltas(spark, firms_path, firm_deltas(api_only(winners), "ingest_ord"), f"{checkpoint.rstrip('/')}:{batch_id}")

@@ -11,13 +11,17 @@ from recallspark.functions.dates import parse_page_date, parse_record_date
 from checks.ingestion import streamed
 from recallspark.functions.text import first_match, markup_text, state_reach, strip, strip_column
 from recallspark.operators import dedupe as D
+from recallspark.operators.marks import ROW, mark_rows, numbered, with_marks
 from recallspark.operators.merge import merge_recalls
 from recallspark.operators.normalize import normalize
 from recallspark.plans.backfill import place_records
 from recallspark.plans.report import report_base
 from recallspark.sources.landing import explode_records, in_date_range, undatable, with_results
+from recallspark.schemas import RECORD_COLUMNS, record_type
+from recallspark.sources import store
 from recallspark.sources.store import read_table
 from recallspark.sources.webpages import infer_product_type, parse_alerts
+from recallspark.streaming import ingest as stream
 
 FIRST, LAST, AS_OF = date(2024, 1, 1), date(2024, 12, 31), date(2025, 1, 1)
 
@@ -178,3 +182,62 @@ def test_a_stream_reads_a_folder_of_lines(spark, tmp_path, files):
     put("supplier", [(1, "Firm", 1)], "s_suppkey long, s_name string, s_nationkey int")
     put("nation", [(1, "N")], "n_nationkey int, n_name string")
     assert sorted(r.recall_number for r in streamed(spark, str(tmp_path)).collect()) == ["R-1-1", "R-1-2", "R-2-1"]
+
+
+def test_marks_find_their_rows(spark, tmp_path):
+    numbered(spark.range(100_000).repartition(3)).write.parquet(f"{tmp_path}/t")
+    rows = spark.read.parquet(f"{tmp_path}/t")
+    marks = mark_rows(rows.where("id % 7 < 3").union(rows.where("id = 0")), third=F.col("id") % 3 == 0, all=F.lit(True))
+    for n in (100_000, 1 << 40):
+        found = with_marks(rows, marks, n)
+        assert found.columns == ["id", ROW, "third", "all"] and found.count() == 100_000
+        assert found.where(F.col("all") != (F.col("id") % 7 < 3)).count() == 0
+        assert found.where(F.col("third") != ((F.col("id") % 7 < 3) & (F.col("id") % 3 == 0))).count() == 0
+    assert not with_marks(rows, mark_rows(rows.where("id < 0"), none=F.lit(True)), 9).where("none").count()
+
+
+@pytest.mark.parametrize("hot", [2, 10_000])
+def test_a_mixed_key_is_folded_in_order(spark, monkeypatch, hot):
+    monkeypatch.setattr(D, "HOT_KEY", hot)
+    days = [date(2024, 1, 5), date(2024, 1, 9), None, date(2024, 1, 2), date(2024, 1, 20)]
+    rows = [(f"K{i % 5}", "fda_website" if (i * 7) % 3 == 0 and i % 5 < 3 else "openfda_api", days[(i * i) % 5], i, f"r{i}") for i in range(80)]
+    rows += [("none", None, days[0], 1, "a"), ("none", None, days[1], 2, "b")]
+    records = spark.createDataFrame(rows, "recall_number string, source string, report_date date, ingest_ord int, status string").repartition(3)
+    held = {}
+    for r in rows[:80]:
+        h = held.get(r[0])
+        if h is None or (h[1] == "fda_website" and r[1] == "openfda_api") or (r[2] and h[2] and r[2] > h[2]):
+            held[r[0]] = r
+    want = sorted([h[4] for h in held.values()] + ["a", "b"])  # nothing is chosen among records without a source
+    assert sorted(r.status for r in D.dedupe(records).collect()) == want
+
+
+def test_records_of_a_stream_move_once(spark, tmp_path):
+    """The records go to their month; by key only narrow rows travel."""
+    root, moved = str(tmp_path), []
+    recalls = [(f"R{i % 40}", "openfda_api", "Food", "Class I", "Firm", "milk", date(2024, 1 + i % 3, 1), "{}", i, "x" * 50) for i in range(100)]
+    spark.createDataFrame(recalls, """recall_number string, source string, product_type string, classification string, recalling_firm string,
+        reason_for_recall string, report_date date, raw_json string, ingest_ord int, extra string""").write.parquet(f"{root}/in")
+    given = spark.read.parquet(f"{root}/in")
+
+    def prepare(batch):
+        return batch.withColumns({c: F.lit(None).cast(record_type(c)) for c in RECORD_COLUMNS if c not in batch.columns})
+
+    def seen(path, batch):
+        moved.append(batch)
+        return upserted(spark, path, batch, NOW)
+
+    upserted, NOW = store.upsert_recalls, datetime(2024, 6, 1)
+    keep = stream.upsert_recalls
+    stream.upsert_recalls = lambda s, path, batch, now: seen(path, batch)
+    try:
+        stream.upsert_stream(spark.readStream.schema(given.schema).parquet(f"{root}/in"), f"{root}/t", f"{root}/c", prepare, AS_OF, NOW).awaitTermination()
+    finally:
+        stream.upsert_recalls = keep
+    assert "extra" not in moved[0].columns and not [e for e in _nodes(moved[0]._jdf.queryExecution().optimizedPlan(), "RepartitionByExpression")]
+    assert not re.search(r"Exchange hashpartitioning\(recall_number", plan(moved[0]))
+    want = {}
+    for r in recalls:
+        if r[0] not in want or r[6] > want[r[0]][6]:
+            want[r[0]] = r
+    assert sorted((r.recall_number, r.report_date) for r in read_table(spark, f"{root}/t").collect()) == sorted((k, r[6]) for k, r in want.items())
