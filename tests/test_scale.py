@@ -14,7 +14,8 @@ from recallspark.operators import dedupe as D
 from recallspark.operators.marks import ROW, mark_rows, numbered, with_marks
 from recallspark.operators.merge import merge_recalls
 from recallspark.operators.normalize import normalize
-from recallspark.plans.backfill import place_records
+from recallspark.operators.validate import validate
+from recallspark.plans.backfill import Fold, place_records
 from recallspark.plans.report import report_base
 from recallspark.sources.landing import explode_records, in_date_range, undatable, with_results
 from recallspark.schemas import RECORD_COLUMNS, record_type
@@ -241,3 +242,38 @@ def test_records_of_a_stream_move_once(spark, tmp_path):
         if r[0] not in want or r[6] > want[r[0]][6]:
             want[r[0]] = r
     assert sorted((r.recall_number, r.report_date) for r in read_table(spark, f"{root}/t").collect()) == sorted((k, r[6]) for k, r in want.items())
+
+
+def test_a_fold_moves_only_what_is_put_together(spark, tmp_path):
+    def record(key, day, status, firm, **more):
+        fields = {"recall_number": key, "report_date": day, "status": status, "recalling_firm": firm, "reason_for_recall": "milk", **more}
+        return "{" + ", ".join(f'"{k}": {v if isinstance(v, int) else chr(34) + v + chr(34)}' for k, v in fields.items()) + "}"
+
+    texts = [record("A", "20240105", "one", "a"), record("A", "20240301", "two", "b"), record("A", "20240309", "three", "c"),
+             record("A", "20240401", "bad", "d", city=7), record("B", "20240202", "x", "e"), record("B", "20240201", "y", "f"),
+             record("C", "20240203", "z", "g"), record("D", "soon", "z", "g"), record("E", "20230101", "z", "g")]
+    page = spark.createDataFrame([("Food", "p", '{"results": [' + ", ".join(texts) + "]}")], "product_type string, file string, text string").repartition(1)
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    fold = Fold(place_records(explode_records(with_results(page, F.col("text"))), R.PRODUCT_TYPES, FIRST, LAST, AS_OF), str(tmp_path / "work"), AS_OF)
+    assert spark.conf.get(name) == before
+    assert sorted((r.recall_number, r.status, r.recalling_firm, r.report_date) for r in fold.batch.collect()) == [
+        ("A", "three", "a", date(2024, 1, 5)), ("B", "x", "e", date(2024, 2, 2)), ("C", "z", "g", date(2024, 2, 3))]
+    assert sorted((r.recall_number, r.status) for r in fold.winners.collect()) == [("A", "one"), ("A", "three"), ("B", "x"), ("C", "z")]
+    assert fold.undatable().count() == 1 and [r.errors for r in fold.failed().collect()] == [["type:city"]]
+    for df in (fold.batch, fold.winners):
+        assert fold.batch.columns == df.columns == [c for c in fold.validated.columns if c != "errors"]
+    assert not re.search(r"Exchange (hash|range)partitioning", plan(fold.batch))
+    assert spark.read.parquet(f"{tmp_path}/work/followed").count() == 1
+
+
+def test_rules_are_not_interpreted(pages):
+    """Filters of arrays and lambdas run row by row without generated code: only odd values reach one."""
+    checked = validate(normalize(explode_records(pages)), AS_OF).select("errors", "validation_errors", "report_date", "recall_initiation_date")
+    text = plan(checked)
+    dates = [line for line in text.split("\n") if "try_cast" in line]
+    assert dates and not any(re.search(r"transform\(array\(CASE WHEN", line) for line in dates)
+    found = {tuple(r.errors): r.validation_errors for r in checked.collect()}
+    assert found[("required:recalling_firm", "required:reason_for_recall")] == [
+        "Missing product_description", "Missing distribution_pattern", "Missing classification"]
+    assert ("required:recalling_firm", "required:reason_for_recall", "type:city") in found
